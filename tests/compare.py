@@ -24,7 +24,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return ""
     if isinstance(v, pd.Timestamp):
         return v.tz_localize(None).isoformat() if v.tzinfo is None else v.tz_convert("UTC").tz_localize(None).isoformat()

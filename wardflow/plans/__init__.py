@@ -1,6 +1,6 @@
 """Importing this package registers every query."""
 
-from . import basics, joining, picking, reading  # noqa: F401
+from . import basics, clinical, grouping, joining, picking, reading, reshaping, timeline  # noqa: F401
 from .registry import REGISTRY, Query, run
 
 __all__ = ["REGISTRY", "Query", "run"]
