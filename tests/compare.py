@@ -72,9 +72,15 @@ if __name__ == "__main__":
     from wardflow.plans import REGISTRY
     from wardflow.session import local_session
 
-    folder = sys.argv[1]
-    names = sys.argv[2:] or list(REGISTRY)
+    args = sys.argv[1:]
+    split = "--split" in args  # cut every key above a few rows, to walk the hot-key paths
+    args = [a for a in args if a != "--split"]
+    folder = args[0]
+    names = args[1:] or list(REGISTRY)
     spark = local_session()
+    if split:
+        spark.conf.set("spark.wardflow.probeBytes", "0")
+        spark.conf.set("spark.wardflow.chunkRows", "10")
     con = connect(folder)
     bad = 0
     for name in names:

@@ -7,7 +7,7 @@ splits hot partitions of the others.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,31 +103,31 @@ def first_state(states: DataFrame, keys, order, label: str, skip=(), targets=Non
 _WIDTHS_H = (1, 24, 24 * 30, 24 * 730, 24 * 18250)
 
 
+def _bin(level: int, number: Column) -> Column:
+    return F.struct(F.lit(level).alias("l"), number.alias("b"))
+
+
+def _bin_number(ts: Column, hours: int) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(hours * 3_600_000_000)).cast("bigint")
+
+
 def _span_bins(start: Column, stop: Column) -> Column:
     length = F.unix_micros(stop) - F.unix_micros(start)
     out = None
     for level, hours in enumerate(_WIDTHS_H):
-        width = hours * 3_600_000_000
-        bins = F.transform(
-            F.sequence(F.floor(F.unix_micros(start) / F.lit(width)).cast("bigint"),
-                       F.floor(F.unix_micros(stop) / F.lit(width)).cast("bigint")),
-            lambda b, level=level: F.struct(F.lit(level).alias("l"), b.alias("b")),
-        )
-        fits = length <= 8 * width
+        numbers = F.sequence(_bin_number(start, hours), _bin_number(stop, hours))
+        bins = F.transform(numbers, partial(_bin, level))
         if level == len(_WIDTHS_H) - 1:
             return out.otherwise(bins)
-        out = (F if out is None else out).when(fits, bins)
+        out = (F if out is None else out).when(length <= 8 * hours * 3_600_000_000, bins)
 
 
 def _point_bins(ts: Column) -> Column:
-    return F.array(*[
-        F.struct(F.lit(level).alias("l"), F.floor(F.unix_micros(ts) / F.lit(h * 3_600_000_000)).cast("bigint").alias("b"))
-        for level, h in enumerate(_WIDTHS_H)
-    ])
+    return F.array(*[_bin(level, _bin_number(ts, hours)) for level, hours in enumerate(_WIDTHS_H)])
 
 
 def _one_bin() -> Column:
-    return F.array(F.struct(F.lit(-1).alias("l"), F.lit(0).cast("bigint").alias("b")))
+    return F.array(_bin(-1, F.lit(0).cast("bigint")))
 
 
 def interval_join(points: DataFrame, spans: DataFrame, keys, ts: str, start: str, stop: str,

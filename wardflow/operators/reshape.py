@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .agg import exact_quantiles
+
 
 def flag_pivot(df: DataFrame, keys, name: str, values: Sequence, prefix: str = "", fill: bool | None = None) -> DataFrame:
     """One boolean column per value: TRUE where the key has a row with it."""
@@ -51,13 +53,17 @@ def to_long(df: DataFrame, ids, cols: Sequence[str], name: str = "name", value:
     return out if keep is None else out.filter(keep)
 
 
-def statistics_table(df: DataFrame, cols: Sequence[str], aggs: Mapping[str, str]) -> DataFrame:
+def statistics_table(df: DataFrame, cols: Sequence[str], aggs: Mapping[str, str], quantiles: Mapping[str, float] | None = None) -> DataFrame:
     """One row per measure, one column per statistic.
 
-    ``aggs`` maps a statistic to an aggregate of ``value``, e.g. ``{"mean": "avg(value)"}``.
+    ``aggs`` maps a statistic to an aggregate of ``value``, e.g. ``{"mean": "avg(value)"}``;
+    ``quantiles`` maps a name to a share, e.g. ``{"median": 0.5}``.
     """
     long = df.select(*[F.col(c).cast("double") for c in cols]).unpivot([], list(cols), "measure", "value")
-    return long.groupBy("measure").agg(*[F.expr(text).alias(n) for n, text in aggs.items()])
+    out = long.groupBy("measure").agg(*[F.expr(text).alias(n) for n, text in aggs.items()])
+    if not quantiles:
+        return out
+    return out.join(exact_quantiles(long, ["measure"], "value", list(quantiles.values()), list(quantiles)), "measure")
 
 
 def split_column(df: DataFrame, column: str, into: Sequence[str], sep: str) -> DataFrame:

@@ -24,17 +24,21 @@ from pyspark.sql import types as T
 # A key is hot above twice this many rows; a chunk aims at this many.
 CHUNK_ROWS = "spark.wardflow.chunkRows"
 DEFAULT_CHUNK_ROWS = 2_000_000
-# Inputs whose planned size is below this are not probed: one task can hold them.
+# Plans that read less than this are not probed: one task can hold any key.
 PROBE_BYTES = "spark.wardflow.probeBytes"
 DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
 # Upper bound on all chunks of a table together.
 MAX_CHUNKS = 4000
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the session does not expose it."""
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Size of the inputs a plan reads, or None where the session does not expose it.
+
+    The inputs are measured files; the estimate above a join would be a guess.
+    """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
     except Exception:  # e.g. a Connect session
         return None
 
@@ -51,6 +55,10 @@ def order_number(df: DataFrame, name: str) -> Column:
         return F.unix_date(c).cast("long")
     if isinstance(kind, T.NumericType):
         return c
+    if isinstance(kind, T.StringType):
+        # the first 7 bytes; texts that share them share a chunk
+        head = F.substring(F.encode(c, "UTF-8"), 1, 7)
+        return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
     raise TypeError(f"{name}: hot keys can only be cut along a time or number, not {kind.simpleString()}")
 
 
@@ -120,7 +128,7 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
     spark = df.sparkSession
     chunk_rows = int(spark.conf.get(CHUNK_ROWS, str(DEFAULT_CHUNK_ROWS)))
     probe_bytes = int(spark.conf.get(PROBE_BYTES, str(DEFAULT_PROBE_BYTES)))
-    size = planned_bytes(df)
+    size = scanned_bytes(df)
     if size is not None and size < probe_bytes:
         return None
 

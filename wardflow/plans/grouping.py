@@ -276,8 +276,8 @@ def control_chart_limits(t):
     SELECT measure, round(avg(value), 6) AS mean, min(value) AS lo, max(value) AS hi, round(median(value), 6) AS med FROM (SELECT l_quantity, l_discount, l_tax FROM lineitem) UNPIVOT (value FOR measure IN (l_quantity, l_discount, l_tax)) GROUP BY 1
 """)
 def statistics_by_measure(t):
-    aggs = {"mean": "round(avg(value), 6)", "lo": "min(value)", "hi": "max(value)", "med": "round(percentile(value, 0.5), 6)"}
-    return reshape.statistics_table(t.lineitem, ["l_quantity", "l_discount", "l_tax"], aggs)
+    aggs = {"mean": "avg(value)", "lo": "min(value)", "hi": "max(value)"}
+    return _rounded(reshape.statistics_table(t.lineitem, ["l_quantity", "l_discount", "l_tax"], aggs, {"med": 0.5}))
 
 
 @query("days_to_extreme_gap", "F20 J7", f"""

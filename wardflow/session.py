@@ -34,6 +34,7 @@ def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "wardflow"
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for name, value in RUNTIME_CONF.items():
         builder = builder.config(name, value)
