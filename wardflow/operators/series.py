@@ -24,8 +24,12 @@ class Ordered:
     """Rows of each key in a total order ``order`` (first a time or number, then tie-breaks)."""
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], cuts: Cuts | None | str = "find",
-                 cut_keys: list[str] | None = None):
-        """``cuts`` found for ``cut_keys`` (a subset of ``keys``) can be passed on to a finer grouping."""
+                 cut_keys: list[str] | None = None, backward: bool = False):
+        """``cuts`` found for ``cut_keys`` (a subset of ``keys``) can be passed on to a finer grouping.
+
+        ``backward`` walks the same order from its end.
+        """
+        self.backward = backward
         self.keys = list(keys)
         self.order = list(order)
         second = self.order[1] if len(self.order) > 1 else None
@@ -48,7 +52,7 @@ class Ordered:
 
     def _spec(self):
         parts = self.parts or [F.lit(0)]
-        return Window.partitionBy(*parts).orderBy(*self.order)
+        return Window.partitionBy(*parts).orderBy(*(map(F.desc, self.order) if self.backward else self.order))
 
     def result(self) -> DataFrame:
         return self.df.drop("_h", "_chunk", "_hot") if self.cuts is not None else self.df
@@ -56,6 +60,7 @@ class Ordered:
     def _with(self, df: DataFrame) -> "Ordered":
         out = object.__new__(Ordered)
         out.keys, out.order, out.cuts, out._tie, out.df = self.keys, self.order, self.cuts, self._tie, df
+        out.backward = self.backward
         return out
 
     def with_columns(self, columns: dict[str, Column]) -> "Ordered":
@@ -82,9 +87,9 @@ class Ordered:
         ends = (
             base.filter("_hot")
             .groupBy("_h", *self.keys, "_chunk")
-            .agg(*[_end(k, F.col(f"_v_{n}"), place).alias(f"_e_{n}") for n, (k, _) in cols.items()])
+            .agg(*[_end(k, F.col(f"_v_{n}"), place, self.backward).alias(f"_e_{n}") for n, (k, _) in cols.items()])
         )
-        along = Window.partitionBy("_h", *self.keys).orderBy("_chunk")
+        along = Window.partitionBy("_h", *self.keys).orderBy(F.desc("_chunk") if self.backward else "_chunk")
         before = along.rowsBetween(Window.unboundedPreceding, -1)
         carry = ends.select(
             *[F.col(c).alias(f"_k_{c}") for c in ["_h", *self.keys, "_chunk"]],
@@ -104,7 +109,12 @@ class Ordered:
         return self._with(done.select(*keep))
 
     def whole(self, **outs: tuple[str, Column | str]) -> "Ordered":
-        """Add per-key values (``first, last, sum, max, min, count``) to every row."""
+        """Add per-key values (``first, last, sum, max, min, count``) to every row.
+
+        First and last are those of the forward order.
+        """
+        if self.backward:
+            raise ValueError("whole() reads the forward order")
         cols = {n: (kind, F.col(c) if isinstance(c, str) else c) for n, (kind, c) in outs.items()}
         place = F.struct(*self.order)
         if self.cuts is None:
@@ -154,13 +164,14 @@ def _inside(kind, c, spec, upto):
     return getattr(F, kind)(c).over(upto)
 
 
-def _end(kind, v, place):
+def _end(kind, v, place, backward):
+    newest, oldest = (F.min_by, F.max_by) if backward else (F.max_by, F.min_by)
     if kind == "lag":
-        return F.max_by(F.struct(v.alias("v")), place)
+        return newest(F.struct(v.alias("v")), place)
     if kind == "lead":
-        return F.min_by(F.struct(v.alias("v")), place)
+        return oldest(F.struct(v.alias("v")), place)
     if kind == "last":
-        return F.max_by(v, F.when(v.isNotNull(), place))
+        return newest(v, F.when(v.isNotNull(), place))
     return getattr(F, kind)(v)
 
 
@@ -323,23 +334,62 @@ def pair_events(df, keys, ts, tie, kind, start, stop, fallbacks=()):
 # ------------------------------------------------------------ rolling windows
 
 def rolling(df, keys, ts, value, hours, fn="max", name="rolling"):
-    """``fn`` of ``value`` over the ``hours`` up to and including each row's time.
+    """``fn`` (``max, min, sum, count, avg``) of ``value`` over the ``hours`` up to
+    and including each row's time; rows at the same time see each other, rows
+    without a time see nothing.
 
-    Rows of a hot key are also handed to the later chunks their window reaches
-    into, so every chunk sees the whole window of its own rows.
+    Without hot keys this is one RANGE frame, whose cost per row is the number
+    of rows in the frame.  Hot keys take a road that is linear in the rows
+    however dense they are, see :func:`_rolling_linear`.
     """
     width = int(hours * 3_600_000_000)
-    agg = getattr(F, fn)
     cuts = find_cuts(df, keys, ts)
-    at = F.unix_micros(ts)
     if cuts is None:
-        spec = Window.partitionBy(*keys).orderBy(at).rangeBetween(-width, 0)
-        return df.withColumn(name, agg(value).over(spec))
-    rows = cuts.attach(df, keys).withColumn("_own", cuts.chunk(at))
-    rows = rows.withColumn("_chunk", F.explode(F.sequence("_own", cuts.chunk(at + width))))
-    spec = Window.partitionBy(*keys, "_chunk").orderBy(at).rangeBetween(-width, 0)
-    out = rows.withColumn(name, agg(value).over(spec)).filter(F.col("_own") == F.col("_chunk"))
-    return cuts.drop(out).drop("_own", "_chunk")
+        spec = Window.partitionBy(*keys).orderBy(F.unix_micros(ts)).rangeBetween(-width, 0)
+        return df.withColumn(name, F.when(F.col(ts).isNotNull(), getattr(F, fn)(value).over(spec)))
+    steps = {"max": ("max",), "min": ("min",), "sum": ("sum",), "count": ("count",), "avg": ("sum", "count")}[fn]
+    out = df
+    for step in steps:
+        out = _rolling_linear(out, list(keys), ts, value, width, step, f"_{step}", cuts)
+    if fn == "avg":
+        out = out.withColumn(name, F.col("_sum") / F.nullif(F.col("_count"), F.lit(0)))
+    else:
+        out = out.withColumn(name, F.col(f"_{fn}"))
+    return out.select(*[c for c in df.columns if c != name], name)
+
+
+def _rolling_linear(df, keys, ts, value, width, fn, name, cuts):
+    """Rolling value from time blocks as wide as the window.
+
+    A window ending at ``t`` is the end of the previous block from ``t - width``
+    on, and the start of the own block up to ``t``.  Both are running values of
+    a block, read by a probe that travels with its row: forward in the own
+    block, backward in the previous one.
+    """
+    kind = "sum" if fn == "count" else fn
+    at = F.unix_micros(ts)
+    amount = F.when(F.col(value).isNotNull(), F.lit(1).cast("bigint")) if fn == "count" else F.col(value)
+
+    def block(x):
+        return F.floor(x / F.lit(width)).cast("bigint")
+
+    lean = df.select(*keys, at.alias("_o"), amount.alias("_x")).filter(F.col("_x").isNotNull() & F.col("_o").isNotNull())
+    probes = df.select(*keys, at.alias("_t"), F.struct(*df.columns).alias("_row"))
+
+    def read(probes, position, own_block, side, backward, out):
+        asked = probes.withColumns({"_o": position, "_block": own_block, "_side": F.lit(1 - side)})
+        told = lean.withColumns({"_block": block(F.col("_o")), "_side": F.lit(side)})
+        rows = asked.unionByName(told, allowMissingColumns=True)
+        o = Ordered(rows, [*keys, "_block"], ["_o", "_side"], cuts, keys, backward).look(**{out: (kind, "_x")})
+        return o.result().filter(F.col("_row").isNotNull()).drop("_o", "_x", "_block", "_side")
+
+    t = F.col("_t")
+    near = read(probes, t, block(t), 0, False, "_near")
+    far = read(near, t - width, block(t) - 1, 1, True, "_far")
+    # a window that starts on a block edge reaches back exactly to that edge
+    far = far.withColumn("_v", _merge(kind, F.col("_near"), F.col("_far")))
+    found = F.coalesce("_v", F.lit(0)) if fn == "count" else F.col("_v")
+    return far.select("_row.*", F.when(F.col("_t").isNotNull(), found).alias(name))
 
 
 def sustained(df, keys, ts, tie, value, below, hours):
