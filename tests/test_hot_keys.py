@@ -20,15 +20,18 @@ def events(spark):
         value = None if rnd.random() < 0.1 else float(rnd.randint(0, 40))
         data.append((i, key, at, value, rnd.choice("abc")))
     df = spark.createDataFrame(data, "id bigint, k bigint, at bigint, v double, kind string")
-    return df.withColumn("ts", F.timestamp_seconds("at")).drop("at").cache()
+    return df.withColumn("ts", F.timestamp_seconds("at")).drop("at").coalesce(3).cache()
 
 
 @pytest.fixture(scope="module", autouse=True)
 def interpreted(spark):
     """Tiny data and many plans: compiling them would take most of the time."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def both(spark, build):
@@ -66,6 +69,19 @@ def test_small_inputs_are_not_probed(spark, events):
     assert skew.find_cuts(events, ["k"], "ts") is None
 
 
+def test_a_sample_only_moves_the_cuts(spark, monkeypatch):
+    path = "/root/testdata/sf0.001/events.parquet"
+    df = spark.read.parquet(path).select("event_id", F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 3).alias("k"), "value")
+    monkeypatch.setattr(skew, "COUNTED_BYTES", skew.scanned_bytes(df) // 3)
+    both(spark, lambda: Ordered(df, ["k"], ["ts", "event_id"]).look(a=("lag", "value"), b=("sum", "event_id")).result())
+
+
+def test_unknown_input_size_is_counted_in_full(spark):
+    df = spark.createDataFrame([(1, 2.0)], "k int, v double")
+    assert skew.scanned_bytes(df) is None and not skew.is_small(df)
+    assert skew.find_cuts(df, ["k"], "v") is None
+
+
 def test_look(spark, events):
     both(spark, lambda: Ordered(events, ["k"], ["ts", "id"]).look(
         a=("lag", "v"), b=("lead", "v"), c=("sum", "v"), d=("max", "v"), e=("last", "v"), f=("min", "id")).result())

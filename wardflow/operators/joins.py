@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import elapsed, offset
 from .pick import pick_first
 from .series import Ordered
-from .skew import find_cuts
+from .skew import is_small
 
 
 def restrict_to(df: DataFrame, ids: DataFrame, on, keep: bool = True) -> DataFrame:
@@ -99,74 +99,81 @@ def first_state(states: DataFrame, keys, order, label: str, skip=(), targets=Non
 
 # -------------------------------------------------------------- interval joins
 
-# Bin widths for hot keys; a span uses the first width it covers at most 8 times.
-_WIDTHS_H = (1, 24, 24 * 30, 24 * 730, 24 * 18250)
+# Bin widths; a span uses the first width that covers it in at most 9 bins.
+_WIDTHS_S = (60, 3_600, 86_400, 86_400 * 30, 86_400 * 730, 86_400 * 18_250)
 
 
-def _bin(level: int, number: Column) -> Column:
-    return F.struct(F.lit(level).alias("l"), number.alias("b"))
+def _level(start: Column, stop: Column) -> Column:
+    length = F.unix_micros(stop) - F.unix_micros(start)
+    out = None
+    for level, seconds in enumerate(_WIDTHS_S[:-1]):
+        out = (F if out is None else out).when(length <= 8 * seconds * 1_000_000, F.lit(level))
+    return out.otherwise(F.lit(len(_WIDTHS_S) - 1))
 
 
-def _bin_number(ts: Column, hours: int) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(hours * 3_600_000_000)).cast("bigint")
+def _bin_number(ts: Column, level: int) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(_WIDTHS_S[level] * 1_000_000)).cast("bigint")
 
 
-def _span_bins(start: Column, stop: Column) -> Column:
-    length = F.unix_micros(stop) - F.unix_micros(start)
+def _span_bins(start: Column, stop: Column, levels) -> Column:
+    """(level, bin) of every bin a span touches at its own level."""
     out = None
-    for level, hours in enumerate(_WIDTHS_H):
-        numbers = F.sequence(_bin_number(start, hours), _bin_number(stop, hours))
+    for level in levels:
+        numbers = F.sequence(_bin_number(start, level), _bin_number(stop, level))
         bins = F.transform(numbers, partial(_bin, level))
-        if level == len(_WIDTHS_H) - 1:
-            return out.otherwise(bins)
-        out = (F if out is None else out).when(length <= 8 * hours * 3_600_000_000, bins)
+        out = (F if out is None else out).when(_level(start, stop) == level, bins)
+    return out
 
 
-def _point_bins(ts: Column) -> Column:
-    return F.array(*[_bin(level, _bin_number(ts, hours)) for level, hours in enumerate(_WIDTHS_H)])
+def _point_bins(ts: Column, levels) -> Column:
+    return F.array(*[_bin(level, _bin_number(ts, level)) for level in levels])
 
 
-def _one_bin() -> Column:
-    return F.array(_bin(-1, F.lit(0).cast("bigint")))
+def _bin(level: int, number: Column) -> Column:
+    return F.struct(F.lit(level).alias("l"), number.alias("b"))
 
 
 def interval_join(points: DataFrame, spans: DataFrame, keys, ts: str, start: str, stop: str,
                   closed: str = "both", how: str = "inner") -> DataFrame:
     """Points joined with the spans of the same key that contain them.
 
-    ``closed``: ``both``, ``left`` (stop excluded), ``right`` (start excluded) or ``neither``.  Column names of
-    the two sides must differ apart from ``keys``; spans with an unknown bound
-    contain nothing.  Keys with few rows are joined on the key alone; hot keys
-    also on time bins, so a point only meets spans near it.
+    ``closed``: ``both``, ``left`` (stop excluded), ``right`` (start excluded) or
+    ``neither``.  Column names of the two sides must differ apart from ``keys``;
+    spans with an unknown bound contain nothing.  Small inputs are joined on the
+    key alone.  Large ones are joined on the key and a time bin, so that a point
+    only meets spans near it and a key with many rows is spread over its bins;
+    bins come in several widths, a span uses the one that suits its length, and
+    points look in the widths that occur.
     """
     keys = list(keys)
     inside = (F.col(ts) > F.col(start)) if closed in ("right", "neither") else (F.col(ts) >= F.col(start))
     inside = inside & ((F.col(ts) < F.col(stop)) if closed in ("left", "neither") else (F.col(ts) <= F.col(stop)))
     spans = spans.filter(F.col(start) <= F.col(stop))
-    cuts = _hot_in_either(points, spans, keys, ts, start)
-    if cuts is not None and how == "left":
-        return _hot_left(points, spans, keys, ts, start, stop, inside, cuts)
-    return _match(points, spans, keys, ts, start, stop, inside, cuts, how)
+    if is_small(points, spans):
+        return _match(points, spans, keys, ts, start, stop, inside, None, how)
+    # at most one row per width
+    used = spans.select(_level(F.col(start), F.col(stop)).alias("level")).distinct().collect()
+    levels = sorted(r["level"] for r in used) or [0]
+    if how == "left":
+        return _match_left(points, spans, keys, ts, start, stop, inside, levels)
+    return _match(points, spans, keys, ts, start, stop, inside, levels, how)
 
 
-def _match(points, spans, keys, ts, start, stop, inside, cuts, how="inner"):
+def _match(points, spans, keys, ts, start, stop, inside, levels, how="inner"):
     right_keys = [f"_k_{k}" for k in keys]
     on = [F.col(r) == F.col(k) for r, k in zip(right_keys, keys)]
     left, right = points, spans.withColumnsRenamed(dict(zip(keys, right_keys)))
-    if cuts is not None:
-        cold = F.col("_step").isNull()
-        near = F.when(cold | F.col(ts).isNull(), _one_bin()).otherwise(_point_bins(F.col(ts)))
-        cover = F.when(cold, _one_bin()).otherwise(_span_bins(F.col(start), F.col(stop)))
-        left = cuts.drop(cuts.attach(left, keys).withColumn("_bin", F.explode(near)))
-        right = cuts.drop(cuts.attach(right, right_keys).withColumn("_sbin", F.explode(cover)))
+    if levels is not None:
+        left = left.withColumn("_bin", F.explode(_point_bins(F.col(ts), levels)))
+        right = right.withColumn("_sbin", F.explode(_span_bins(F.col(start), F.col(stop), levels)))
         on.append(F.col("_bin") == F.col("_sbin"))
     return left.join(right, reduce(lambda a, b: a & b, on) & inside, how).drop(*right_keys, "_bin", "_sbin")
 
 
-def _hot_left(points, spans, keys, ts, start, stop, inside, cuts):
-    """Left form for hot keys: equal points are matched once, then points without a span are added."""
+def _match_left(points, spans, keys, ts, start, stop, inside, levels):
+    """Left form with bins: equal points are matched once, then points without a span are added."""
     counted = points.groupBy(*points.columns).agg(F.count("*").cast("int").alias("_copies"))
-    found = _match(counted, spans, keys, ts, start, stop, inside, cuts)
+    found = _match(counted, spans, keys, ts, start, stop, inside, levels)
     seen = found.select(*[F.col(c).alias(f"_f_{c}") for c in points.columns]).distinct()
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in points.columns])
     both = found.unionByName(counted.join(seen, same, "left_anti"), allowMissingColumns=True)
@@ -174,15 +181,10 @@ def _hot_left(points, spans, keys, ts, start, stop, inside, cuts):
     return copies.select(*points.columns, *[c for c in spans.columns if c not in keys])
 
 
-def _hot_in_either(a: DataFrame, b: DataFrame, keys, a_ts: str, b_ts: str):
-    lean = a.select(*keys, F.col(a_ts).alias("_t")).unionByName(b.select(*keys, F.col(b_ts).alias("_t")))
-    return find_cuts(lean, keys, "_t")
-
-
 def overlap_join(a: DataFrame, b: DataFrame, keys, a_start, a_stop, b_start, b_stop) -> DataFrame:
     """Pairs of spans of the same key that share at least one instant."""
     keys = list(keys)
-    if _hot_in_either(a, b, keys, a_start, b_start) is None:
+    if is_small(a, b):
         right = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
         cond = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_k_{k}") for k in keys])
         cond = cond & (F.col(a_start) <= F.col(b_stop)) & (F.col(b_start) <= F.col(a_stop))

@@ -10,12 +10,13 @@ column, every row gets a chunk number, and the work is partitioned by
 The cut points are plain driver-side values, at most ``MAX_CHUNKS`` of them in
 total whatever the table size, so sending them to every task is always safe,
 and a task that is run again after an executor loss sees the same chunks.
+Large tables are sampled to choose them; that only decides where a key is cut,
+every row is worked on whatever the sample held.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,19 +29,39 @@ DEFAULT_CHUNK_ROWS = 2_000_000
 PROBE_BYTES = "spark.wardflow.probeBytes"
 DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
 # Upper bound on all chunks of a table together.
-MAX_CHUNKS = 4000
+MAX_CHUNKS = 20_000
+# Inputs up to this size are counted in full, larger ones in proportion.
+COUNTED_BYTES = 8 * 1024**3
+# Rows looked at to place the cut points of all hot keys together.
+PLACED_ROWS = 100 * MAX_CHUNKS
+
+
+def setting(spark, name: str, default: int) -> int:
+    return int(spark.conf.get(name, str(default)))
+
+
+def is_small(*frames: DataFrame) -> bool:
+    """The inputs of these plans together are too small for any key to be hot."""
+    sizes = [scanned_bytes(df) for df in frames]
+    limit = setting(frames[0].sparkSession, PROBE_BYTES, DEFAULT_PROBE_BYTES)
+    return all(size is not None for size in sizes) and sum(sizes) < limit
+
+
+# Spark reports this much or more for inputs it knows nothing about.
+_UNKNOWN_BYTES = 2**60
 
 
 def scanned_bytes(df: DataFrame) -> int | None:
-    """Size of the inputs a plan reads, or None where the session does not expose it.
+    """Size of the inputs a plan reads, or None where it is not known.
 
     The inputs are measured files; the estimate above a join would be a guess.
     """
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
     except Exception:  # e.g. a Connect session
         return None
+    return None if any(s >= _UNKNOWN_BYTES for s in sizes) else sum(sizes)
 
 
 def order_number(df: DataFrame, name: str) -> Column:
@@ -121,28 +142,31 @@ def key_hash(keys: list[str]) -> Column:
 def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -> Cuts | None:
     """Cut points for the hot keys of ``df``, or None when no key is hot.
 
-    The first pass is one global frequent-items sketch of the key: a single
-    small row per task, no exchange of the table.  Only when it finds hot keys
-    does a second pass take quantiles of the ordering column of those keys.
+    The first pass counts rows per key, of a sample when the inputs are large:
+    a key above the limit has thousands of sampled rows there, so it is seen.
+    Only when there are hot keys does a second pass take quantiles of the
+    ordering column of those keys.
     """
     spark = df.sparkSession
-    chunk_rows = int(spark.conf.get(CHUNK_ROWS, str(DEFAULT_CHUNK_ROWS)))
-    probe_bytes = int(spark.conf.get(PROBE_BYTES, str(DEFAULT_PROBE_BYTES)))
-    size = scanned_bytes(df)
-    if size is not None and size < probe_bytes:
+    if is_small(df):
         return None
-
     at_number = order_number(df, at)
-    tie_number = order_number(df, tie) if tie else F.lit(None).cast("long")
+    tie_number = order_number(df, tie) if tie else F.lit(None).cast("bigint")
     lean = df.select(key_hash(keys).alias("h"), at_number.alias("a"), tie_number.alias("b"))
-
-    # Sketch error is below 0.03% of the rows and a hot key has at least 0.05%
-    # of them, so none is missed, and at most 2000 keys can be hot.
-    seen = lean.agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {MAX_CHUNKS // 2}, 20000)").alias("top")
-    ).first()
-    target = max(chunk_rows, math.ceil((seen["n"] or 0) / MAX_CHUNKS))
-    hot = {r["item"]: r["count"] for r in (seen["top"] or []) if r["count"] > 2 * target and r["item"] is not None}
+    size = scanned_bytes(df)
+    share = min(1.0, COUNTED_BYTES / size) if size else 1.0
+    if share < 1.0:
+        lean = lean.sample(share, seed=17)
+
+    per_key = lean.groupBy("h").agg(F.count("*").alias("c"))
+    heaviest = per_key.orderBy(F.desc("c")).limit(MAX_CHUNKS // 2).withColumn("is_total", F.lit(False))
+    total = per_key.agg(F.sum("c").alias("c")).select(F.lit(None).cast("bigint").alias("h"), "c", F.lit(True).alias("is_total"))
+    # both halves read the same exchange
+    found = heaviest.unionByName(total).collect()
+    n = next(r["c"] for r in found if r["is_total"]) or 0
+    # in rows of the sample
+    target = max(setting(spark, CHUNK_ROWS, DEFAULT_CHUNK_ROWS) * share, n / MAX_CHUNKS, 1)
+    hot = {r["h"]: r["c"] for r in found if not r["is_total"] and r["c"] > 2 * target}
     if not hot:
         return None
 
@@ -152,32 +176,33 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
         # One instant that fills several chunks is cut again along the tie-break column.
         crowded = {(h, a): values.count(a) for h, values in points.items() for a in set(values) if values.count(a) > 1}
         if crowded:
-            pairs = {(h, a): F.xxhash64(F.lit(h), F.lit(a)) for h, a in crowded}
-            named = spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(pairs.values())]).first()
-            by_hash = dict(zip(named, pairs))
+            kind = lean.schema["a"].dataType.simpleString()
+            places = spark.createDataFrame([(h, a) for h, a in crowded], f"h bigint, a {kind}")
+            named = {(r["h"], r["a"]): r["x"] for r in places.select("h", "a", F.xxhash64("h", "a").alias("x")).collect()}
+            by_hash = {x: pair for pair, x in named.items()}
             ties = lean.select(F.xxhash64("h", "a").alias("h"), F.col("b").alias("a"))
             want = {x: crowded[pair] * target for x, pair in by_hash.items()}
             for x, values in _quantile_points(spark, ties, want, target).items():
                 h, a = by_hash[x]
-                cuts[h] = cuts[h] + [(a, b) for b in sorted(set(values)) if b is not None]
+                cuts[h] = cuts[h] + [(a, b) for b in set(values) if b is not None]
             for h in cuts:
                 cuts[h] = sorted(set(cuts[h]), key=lambda p: (p[0], p[1] is not None, p[1] or 0))
     cuts = {h: c for h, c in cuts.items() if c}
     return Cuts(spark, cuts) if cuts else None
 
 
-def _quantile_points(spark, rows: DataFrame, hot: dict[int, int], target: int) -> dict[int, list]:
+def _quantile_points(spark, rows: DataFrame, hot: dict[int, float], target: float) -> dict[int, list]:
     """Every ``target``-th value of ``a`` (approximately) for each hot ``h``."""
     most = min(MAX_CHUNKS, max(2, math.ceil(max(hot.values()) / target)))
     shares = [i / most for i in range(1, most)]
     keys = spark.createDataFrame([(h, max(1, round(most * target / n))) for h, n in hot.items()], "h bigint, every int")
+    placed = rows.join(F.broadcast(keys), "h")
+    if sum(hot.values()) > PLACED_ROWS:
+        placed = placed.sample(PLACED_ROWS / sum(hot.values()), seed=19)
     picked = (
-        rows.join(F.broadcast(keys), "h")
-        .groupBy("h", "every")
+        placed.groupBy("h", "every")
         .agg(F.percentile_approx("a", shares, 20 * most).alias("q"))
         .select("h", F.filter("q", lambda x, i: i % F.col("every") == 0).alias("q"))
     )
-    out: dict[int, list] = defaultdict(list)
-    for row in picked.collect():  # at most MAX_CHUNKS values, see the module comment
-        out[row["h"]] = list(row["q"] or [])
-    return out
+    # at most MAX_CHUNKS values, see the module comment
+    return {row["h"]: [v for v in row["q"] or [] if v is not None] for row in picked.collect()}
