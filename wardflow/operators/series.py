@@ -33,7 +33,7 @@ class Ordered:
         self.keys = list(keys)
         self.order = list(order)
         second = self.order[1] if len(self.order) > 1 else None
-        self._tie = second if second and df.schema[second].dataType.typeName() in _NUMBERS else None
+        self._tie = second if second and df.schema[second].dataType.typeName() in _CUTTABLE else None
         if cuts == "find":
             cuts = find_cuts(df, self.keys, self.order[0], self._tie)
         self.cuts = cuts
@@ -153,7 +153,7 @@ class Ordered:
         return self._with(done.select(*keep))
 
 
-_NUMBERS = ("byte", "short", "integer", "long", "float", "double", "timestamp", "date")
+_CUTTABLE = ("byte", "short", "integer", "long", "float", "double", "timestamp", "date", "string")
 
 
 def _inside(kind, c, spec, upto):
