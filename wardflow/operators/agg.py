@@ -32,8 +32,7 @@ def exact_quantiles(df: DataFrame, keys, value: str, shares: Sequence[float], na
     built_in = [F.percentile(value, float(q)).alias(n) for q, n in zip(shares, names)]
     if cuts is None:
         return df.groupBy(*keys).agg(*built_in)
-    marked = cuts.attach(df.select(*keys, value), keys).withColumn("_is_hot", F.col("_step").isNotNull())
-    marked = cuts.drop(marked)
+    marked = cuts.mark(df.select(*keys, value), keys, F.col(value)).withColumnRenamed("_hot", "_is_hot").drop("_h", "_chunk")
     cold = marked.filter(~F.col("_is_hot")).groupBy(*keys).agg(*built_in) if keys else None
     counted = (
         marked.filter("_is_hot").filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))

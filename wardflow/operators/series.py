@@ -40,9 +40,7 @@ class Ordered:
         if cuts is not None:
             at = order_number(df, self.order[0])
             tie_at = order_number(df, self._tie) if self._tie else None
-            df = cuts.attach(df, cut_keys or self.keys)
-            df = df.withColumns({"_chunk": cuts.chunk(at, tie_at), "_hot": F.col("_step").isNotNull()})
-            df = df.drop("_step", "_heads", "_groups")
+            df = cuts.mark(df, cut_keys or self.keys, at, tie_at)
         self.df = df
 
     @property

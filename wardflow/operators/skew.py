@@ -32,8 +32,8 @@ DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
 MAX_CHUNKS = 20_000
 # Inputs up to this size are counted in full, larger ones in proportion.
 COUNTED_BYTES = 8 * 1024**3
-# Rows looked at to place the cut points of all hot keys together.
-PLACED_ROWS = 100 * MAX_CHUNKS
+# Rows looked at to place one cut point.
+PLACED_ROWS = 200
 
 
 def setting(spark, name: str, default: int) -> int:
@@ -84,11 +84,16 @@ def order_number(df: DataFrame, name: str) -> Column:
 
 
 class Cuts:
-    """Cut points of the hot keys of one table, usable on any table with the same key."""
+    """Cut points of the hot keys of one table, usable on any table with the same key.
+
+    ``points`` maps a key hash to sorted ``(value, tie)`` pairs; the tie is only
+    given where one value had to be cut again.
+    """
 
     def __init__(self, spark, points: dict[int, list[tuple]]):
         self.spark = spark
         self.points = points
+        self.paired = any(b is not None for cuts in points.values() for _, b in cuts)
 
     def table(self) -> DataFrame:
         """One row per hot key: its cut points, grouped for a two-step lookup."""
@@ -98,40 +103,35 @@ class Cuts:
         for h, cuts in self.points.items():
             if real:
                 cuts = [tuple(None if v is None else float(v) for v in p) for p in cuts]
+            if not self.paired:
+                cuts = [a for a, _ in cuts]
             step = max(1, math.isqrt(len(cuts)))
             groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
             rows.append((h, step, [g[0] for g in groups], groups))
-        point = f"struct<a:{kind},b:{kind}>"
+        point = f"struct<a:{kind},b:{kind}>" if self.paired else kind
         return self.spark.createDataFrame(
             rows, f"_h bigint, _step int, _heads array<{point}>, _groups array<array<{point}>>"
         )
 
-    def attach(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        """Add the lookup columns; only hot rows get non-null ones."""
-        return df.withColumn("_h", key_hash(keys)).join(F.broadcast(self.table()), "_h", "left")
-
-    @staticmethod
-    def chunk(at: Column, tie: Column | None = None) -> Column:
-        """Chunk number of an ordering value; monotone in it. Needs :meth:`attach`."""
-        tie = F.lit(None) if tie is None else tie
+    def mark(self, df: DataFrame, keys: list[str], at: Column, tie: Column | None = None) -> DataFrame:
+        """Add ``_h`` (key hash), ``_hot`` and ``_chunk``, the latter monotone in the order within a key."""
+        tie = F.lit(None).cast("bigint") if tie is None else tie
 
         def reached(point):
-            # strict lexicographic order, a missing second part sorts first
-            return F.coalesce(
-                (point["a"] < at)
-                | ((point["a"] == at) & (point["b"].isNull() | F.coalesce(point["b"] <= tie, F.lit(False)))),
-                F.lit(False),
-            )
-
-        outer = F.size(F.filter("_heads", reached))
-        inner = F.size(F.filter(F.get("_groups", outer - 1), reached))
-        return F.when(F.col("_step").isNull() | (outer <= 0), F.lit(0)).otherwise(
-            (outer - 1) * F.col("_step") + inner
-        )
-
-    @staticmethod
-    def drop(df: DataFrame) -> DataFrame:
-        return df.drop("_h", "_step", "_heads", "_groups")
+            if not self.paired:
+                return point <= at
+            # lexicographic; a point without a second part is reached by the whole value
+            return (point["a"] < at) | ((point["a"] == at) & (point["b"].isNull() | (point["b"] <= tie)))
+
+        look = df.withColumn("_h", key_hash(keys)).join(F.broadcast(self.table()), "_h", "left")
+        # one step per column, so that each part is evaluated once
+        look = look.withColumns({
+            "_hot": F.col("_step").isNotNull(),
+            "_outer": F.when(F.col("_step").isNotNull() & at.isNotNull(), F.size(F.filter("_heads", reached))),
+        })
+        inner = F.size(F.filter(F.get("_groups", F.col("_outer") - 1), reached))
+        chunk = F.when(F.col("_outer") > 0, (F.col("_outer") - 1) * F.col("_step") + inner).otherwise(F.lit(0))
+        return look.withColumn("_chunk", chunk).drop("_step", "_heads", "_groups", "_outer")
 
 
 def key_hash(keys: list[str]) -> Column:
@@ -197,8 +197,8 @@ def _quantile_points(spark, rows: DataFrame, hot: dict[int, float], target: floa
     shares = [i / most for i in range(1, most)]
     keys = spark.createDataFrame([(h, max(1, round(most * target / n))) for h, n in hot.items()], "h bigint, every int")
     placed = rows.join(F.broadcast(keys), "h")
-    if sum(hot.values()) > PLACED_ROWS:
-        placed = placed.sample(PLACED_ROWS / sum(hot.values()), seed=19)
+    if target > PLACED_ROWS:
+        placed = placed.sample(PLACED_ROWS / target, seed=19)
     picked = (
         placed.groupBy("h", "every")
         .agg(F.percentile_approx("a", shares, 20 * most).alias("q"))
