@@ -53,10 +53,10 @@ hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2
 f AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
     coalesce(hit.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(w, x -> regexp_full_match(x, '[^a-z]*[A-Z][^a-z]*') AND strlen(x) > 1)) AS shouted,
-    len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) AS echoes
+    len(list_filter(w, lambda x: regexp_full_match(x, '[^a-z]*[A-Z][^a-z]*') AND strlen(x) > 1)) AS shouted,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS echoes
   FROM d LEFT JOIN hit USING (r)),
 g AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
