@@ -25,7 +25,7 @@ Span = tuple[int, int]
 # Possessive and anchored forms: same matches as the plain patterns, linear time on long runs.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"[0-9](?<![0-9]{2})[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LUHN = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -89,10 +89,23 @@ _PLUS = r"(?<![A-Za-z])plus[ ](?=\(?[0-9]|" + _WORD + ")"
 _STEP = re.compile(
     rf"(?P<glyph>[{''.join(map(re.escape, HOMOGLYPHS))}！-～])|(?P<none>[{_INVISIBLE}])|(?P<spelled>{_SPELLED})|(?P<at>{_AT})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})", re.IGNORECASE
 )
-_HINT = re.compile(rf"[{''.join(map(re.escape, HOMOGLYPHS))}！-～{_INVISIBLE}]|[\[({{<][ ]?(?:at|@|dot|\.)[ ]?[\])}}>]|[ ]dot[ ]|{_SPELLED}", re.IGNORECASE)
+_GLYPH = re.compile(rf"[{''.join(map(re.escape, HOMOGLYPHS))}！-～{_INVISIBLE}]")
+_BRACKET = re.compile(r"[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]", re.IGNORECASE)
+_RUN = re.compile(_SPELLED)
 _DIGIT = re.compile(_WORD, re.IGNORECASE)
 
 
+def disguised(text: str) -> bool:
+    """Whether any step of the transducer could apply; plain searches first, as most texts have none."""
+    low = text.lower()
+    return (
+        not text.isascii() and _GLYPH.search(text) is not None
+        or " dot " in low
+        or any(c in text for c in "[({<") and _BRACKET.search(text) is not None
+        or sum(map(low.count, DIGIT_WORDS)) >= 3 and _RUN.search(low) is not None
+    )
+
+
 def transduce(text: str) -> tuple[str, np.ndarray, np.ndarray]:
     """The rewritten text, and per character of it the start and end of its source."""
     parts, starts, ends, done = [], [], [], 0
@@ -127,7 +140,7 @@ def find(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]
     """Base spans and all spans, both by kind and in order."""
     text = text or ""
     base = detect(text)
-    if not _HINT.search(text):
+    if not disguised(text):
         return base, base
     plain, starts, ends = transduce(text)
     every = {}
