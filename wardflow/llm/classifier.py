@@ -9,7 +9,9 @@ word shapes; the scorer then judges every document by its text alone.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -35,9 +37,29 @@ def _vote(value: float, good: tuple[float, float], bad: tuple[float, float]) ->
 
 
 _INF = math.inf
+_MARK = re.compile(rb"[#*$%&|<>]").search
+_PLAIN = dict.fromkeys(b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ \t\n\v\f\r")
+
+
+class Votes(Facts):
+    """Facts with what only the labellers ask for."""
+
+    @cached_property
+    def n_letters(self) -> int:
+        """Characters that are no white space, ASCII digit or ASCII sign."""
+        signs = len(self.raw) - len(self.raw.translate(None, bytes(_PLAIN)))
+        return len(self.text) - signs
+
+    @cached_property
+    def raw(self) -> bytes:
+        return self.text.encode("utf-8", "surrogatepass")
+
+
 LABELLERS = {
     "length": lambda f: 0 if len(f.words) < 10 else 1 if len(f.words) >= 80 else 2,
     "symbols": lambda f: _vote(_ratio(f.n_symbols, f.word_chars), (0, 0.005), (0.03, _INF)),
+    "marked": lambda f: _vote(_ratio(sum(1 for w in f.words if _MARK(w)), len(f.words)), (0, 0.01), (0.1, _INF)),
+    "letters": lambda f: _vote(_ratio(f.n_letters, f.word_chars), (0.92, 1), (0, 0.88)),
     "shouting": lambda f: _vote(_ratio(f.n_shouted, len(f.words)), (0, 0.03), (0.2, _INF)),
     "lines": lambda f: _vote(_ratio(f.n_dup_lines, len(f.lines)), (0, 0.05), (0.4, _INF)),
     "windows": lambda f: _vote(_ratio(f.n_repeat_words, len(f.words)), (0, 0.1), (0.4, _INF)),
@@ -48,7 +70,7 @@ LABELLERS = {
 NAMES = tuple(LABELLERS)
 
 
-def votes_of(facts: Facts) -> int:
+def votes_of(facts: Votes) -> int:
     """All votes as one number, three values per labeller; a text without words is voted on like any other."""
     out = 0
     for name in NAMES:
@@ -157,7 +179,7 @@ def classify_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         total: dict[int, int] = {}
         for batch in batches:
             for text in batch["text"]:
-                p = votes_of(Facts(text))
+                p = votes_of(Votes(text))
                 total[p] = total.get(p, 0) + 1
         yield pd.DataFrame({"pattern": list(total.keys()), "n": list(total.values())}, dtype="int64")
 
@@ -171,7 +193,7 @@ def classify_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slots, shapes = Slots(), Shapes()
         for batch in batches:
-            facts = [Facts(text) for text in batch["text"]]
+            facts = [Votes(text) for text in batch["text"]]
             rows = [hashed(f, slots, shapes) for f in facts]
             yield pd.DataFrame({
                 "at": pd.Series([r[0].astype("<u2").tobytes() for r in rows], dtype=object),
@@ -189,7 +211,7 @@ def classify_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         w, b, known = model.value
 
         def one(text: str | None) -> tuple:
-            facts = Facts(text)
+            facts = Votes(text)
             if not facts.words:
                 return known.get(votes_of(facts), 0.0), 0.0
             at, value = hashed(facts, slots, shapes)
