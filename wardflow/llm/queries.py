@@ -5,19 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, ngram_join, pii, rules, shards
+from . import bpe, classifier, decontaminate, html, ngram_join, pii, rules, shards, token_files, toxicity
+from .common import written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+# An id that the vocabulary leaves free.
+SEPARATOR = 50256
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify_quality(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -26,6 +37,13 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(_table(spark, sf_dir, "documents"), shards.even_tree(24))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as flat token streams (written once), then the scan of their blocks."""
+    ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
+    streams = written(token_files.flat_tokens(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, SEPARATOR), "streams")
+    return token_files.count_document_tokens(streams, SEPARATOR)
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, sf_dir, "documents"))
 
@@ -35,12 +53,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.drop("hit_spans")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.encode_digest(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_ngram_jaccard_join, op5_sharding, op7_personal_data, op8_decontamination, op10_byte_bpe)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_ngram_jaccard_join, op5_sharding,
+        op6_token_counts, op7_personal_data, op8_decontamination, op9_main_text, op10_byte_bpe,
+    )
+}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
