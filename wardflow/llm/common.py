@@ -47,6 +47,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_buckets(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``written``, in buckets by ``key``: grouping the result by the key needs no shuffle."""
+    spark = df.sparkSession
+    name = f"llm_{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", f"{work_folder(spark)}/{name}").saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved now: only the files are needed from here on
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def column(name: str) -> Column:
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
