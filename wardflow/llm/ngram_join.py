@@ -32,7 +32,7 @@ from .graph import components
 GROUPS = 128
 SLOT_BITS = 18
 # Members of a key that one tree holds.
-BLOCK = 1000
+BLOCK = 4000
 # Bits of the filter that keeps most non-candidates from the verification shuffle (1 MB).
 FILTER_BITS = 23
 FANOUT = 16
@@ -51,8 +51,14 @@ def _need(n: np.ndarray, m: int, percent: int) -> np.ndarray:
     return -((-percent * (n + m)) // (100 + percent))
 
 
-def _points(sets: np.ndarray) -> np.ndarray:
-    return np.bincount((sets >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+def point_of(sets: np.ndarray) -> bytes:
+    """Counts per group, one byte each if they all fit, else four."""
+    counts = np.bincount((sets >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
+
+
+def _read_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == GROUPS else np.int32).astype(np.int32)
 
 
 class CountTree:
@@ -105,13 +111,13 @@ def _describe(size: int, percent: int, ranks):
             sets = shingle_set(text, size, cache)
             n = len(sets)
             if not n:
-                return 0, None, None, None, None
+                return 0, None, None, None, None, None
             name = xxhash.xxh3_128_intdigest(sets.tobytes())
             names = np.array([name >> 64, name & 0xFFFFFFFFFFFFFFFF], np.uint64).view(np.int64)
             level = rank[(sets >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
             # An order of all shingles: by level, then by a hash.
             keys = sets[np.lexsort((mixed(sets), level))[: n - -(-percent * n // 100) + 1]]
-            return n, int(names[0]), int(names[1]), keys.view(np.int64), _points(sets).tobytes()
+            return n, int(names[0]), int(names[1]), keys.view(np.int64), n - -(-2 * percent * n // (100 + percent)) + 1, point_of(sets)
 
         return one
 
@@ -145,7 +151,7 @@ def _bounded(percent: int):
         for batch in batches:
             if not len(batch):
                 continue
-            a, b = (np.frombuffer(b"".join(batch[c]), np.int32).reshape(-1, GROUPS) for c in ("point_a", "point_b"))
+            a, b = (np.array([_read_point(x) for x in batch[c]]) for c in ("point_a", "point_b"))
             n, m = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
             ok = np.minimum(a, b).sum(axis=1) >= -((-percent * (n + m)) // (100 + percent))
             yield batch.loc[ok, ["a", "b"]]
@@ -169,7 +175,7 @@ def _tree_pairs(percent: int):
                     if held:
                         out += _within(held, percent)
                     current, held, tree = (key, block), [], None
-                point = np.frombuffer(point, np.int32)
+                point = _read_point(point)
                 if home:
                     held.append((node, comp, n, point))
                     continue
@@ -231,16 +237,17 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if len(counts):
         level[counts["slot"].to_numpy()] = np.log2(counts["n"].to_numpy() / counts["n"].mean()).clip(0, 100).astype(np.int8)
     ranks = spark.sparkContext.broadcast(level)
-    found = per_text(_describe(size, percent, ranks), "n bigint, set_a bigint, set_b bigint, keys array<bigint>, point binary", F.col("text"))
+    found = per_text(_describe(size, percent, ranks), "n bigint, set_a bigint, set_b bigint, keys array<bigint>, near bigint, point binary", F.col("text"))
     described = written(docs.select("doc_id", found.alias("found")).select("doc_id", "found.*"), "sets")
 
     # Documents with one set are one node, named by the smallest id.
     filled = described.where("doc_id is not null and n > 0")
     classes = filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
     nodes = filled.join(classes.withColumnRenamed("node", "doc_id"), ["set_a", "set_b", "doc_id"], "left_semi")
-    keyed = nodes.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
-    members = written(keyed.join(shared, "key").select("key", "node", "low"), "members")
+    # Of two similar documents the smaller one has a common key among its first n - ceil(2t / (1 + t) * n) + 1.
+    keyed = nodes.select(F.col("doc_id").alias("node"), "n", "near", F.posexplode("keys").alias("at", "key")).select("key", "node", "n", (F.col("at") < F.col("near")).alias("near"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("near").alias("near")).where("low < high and near").select("key", "low")
+    members = written(keyed.join(shared, "key").select("key", "node", "n", "near", "low"), "members")
     points = nodes.select(F.col("doc_id").alias("node"), "n", "point").join(members.select("node").distinct(), "node", "left_semi")
     points = written(points.dropDuplicates(["node"]), "points")
 
@@ -252,16 +259,21 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = written(_verified(written(bound, "pairs"), known, size, percent), "edges")
     comps = components(links)
 
-    # Keys that still hold several components get their trees.
-    placed = members.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("k"))
-    mixed_keys = sizes.groupBy("key").agg(F.sum("k").alias("members"), F.max_by("comp", "k").alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    home = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = placed.join(mixed_keys, "key").withColumn("blocks", blocks).withColumn("own", home)
-    dealt = dealt.withColumn("block", F.explode(F.when(F.col("comp") == F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    dealt = dealt.select("key", "block", (F.col("own") == F.col("block")).alias("home"), "node", "comp").join(points, "node")
-    trees = dealt.repartition("key", "block").sortWithinPartitions("key", "block", F.desc("home")).select("key", "block", "home", "node", "comp", "n", "point")
+    # Keys that still hold several components get their trees, one per size class: similar documents are in one class
+    # or in neighbouring ones, so each document has its home in its class and searches the next one too.
+    # (Classes are wider than the threshold by a hair, so rounding cannot part two such documents by two classes.)
+    band = F.floor(F.log(F.col("n").cast("double")) / (np.log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else F.col("n").cast("int")
+    placed = members.join(comps, "node", "left").select("key", "node", "near", F.coalesce("comp", "node").alias("comp"), band.alias("own"))
+    placed = placed.withColumn("band", F.explode(F.array("own", F.col("own") + 1))).withColumn("inside", F.col("own") == F.col("band"))
+    sizes = placed.groupBy("key", "band", "comp").agg(F.count("*").alias("k"), F.max("near").alias("near"), F.max("inside").alias("inside"))
+    several = sizes.groupBy("key", "band").agg(F.sum("k").alias("members"), F.max_by("comp", "k").alias("main"), F.count("*").alias("parts"), F.max("near").alias("near"), F.max("inside").alias("inside"))
+    several = several.where("parts > 1 and near and inside").select("key", "band", "members", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = placed.drop("near", "own").join(several, ["key", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # The main component's documents meet the others, not each other: each goes to one block, the others to all.
+    dealt = dealt.withColumn("block", F.explode(F.when((F.col("comp") == F.col("main")) & F.col("inside"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    dealt = dealt.select("key", "band", "block", (F.col("inside") & (F.col("own") == F.col("block"))).alias("home"), "node", "comp").join(points, "node")
+    trees = dealt.repartition("key", "band", "block").sortWithinPartitions("key", "band", "block", F.desc("home"))
+    trees = trees.select("key", (F.col("band").cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "home", "node", "comp", "n", "point")
     more = written(trees.mapInPandas(_tree_pairs(percent), "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(written(_verified(more, known, size, percent), "edges"))
     comps = components(links)
