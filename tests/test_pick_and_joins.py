@@ -124,3 +124,13 @@ def test_reconcile(frame, rows):
 def test_assemble_keeps_every_base_row(frame, rows):
     base, part = frame("k int", [(1,), (2,)]), frame("k int, x int", [(2, 5)])
     assert rows(joins.assemble(base, [part], "k")) == [(1, None), (2, 5)]
+
+
+def test_asof_takes_the_valid_state_of_a_tied_instant(frame, rows):
+    events = frame("k bigint, at timestamp", [(1, "2024-01-01 10:00:00"), (1, "2024-01-01 13:00:00")])
+    states = frame("k bigint, st timestamp, beg timestamp, fin timestamp, sid bigint, name string", [
+        (1, "2024-01-01 09:00:00", "2024-01-01 09:00:00", "2024-01-01 12:00:00", 1, "A"),
+        (1, "2024-01-01 09:00:00", "2024-01-01 08:00:00", "2024-01-01 09:30:00", 2, "B"),
+    ])
+    got = joins.asof_join(events, states, ["k"], "at", "st", ["name"], ["sid"], valid_from="beg", valid_to="fin")
+    assert rows(got, "at", "name") == [("2024-01-01 10:00:00", "A"), ("2024-01-01 13:00:00", None)]

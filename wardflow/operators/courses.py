@@ -6,6 +6,8 @@ after a gap above ``drip_off`` hours.  Both limits are parameters.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +92,10 @@ def series_summary(df: DataFrame, keys, ts: str, value: str, tie=()) -> DataFram
     from .agg import exact_quantiles
 
     med = exact_quantiles(df, keys, value, (0.5,), ("median_result",))
-    return base.join(med, list(keys), "left")
+    # null-safe: a group with an unknown key has a median too
+    med = med.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
+    return base.join(med, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def lab_change(df: DataFrame, keys, ts: str, value: str, change_by: float = -2.0, fn: str = "max", back: float = 2.0) -> DataFrame:

@@ -57,8 +57,10 @@ def asof_join(
     at the event when ``valid_from``/``valid_to`` name its period; otherwise the
     event has no state.  Events and states are unioned and the last state is
     carried forward, so the cost is one sort per key, not one search per event.
-    States with equal times are ordered by ``state_tie``.  A state after the
-    event is not looked at, and an unknown event time has no state.
+    States with equal times are ordered by ``state_tie``: without a period the
+    last one counts, with one the last that is valid at the event (all states of
+    an instant are carried, so an instant of one key should hold few).  A state
+    after the event is not looked at, and an unknown event time has no state.
     """
     keys = list(keys)
     cols = list(cols)
@@ -71,6 +73,10 @@ def asof_join(
         *keys, F.col(ts).alias("_at"), (-spread if strict else spread).alias("_pos"), F.struct(*event_cols).alias("_event")
     )
     ranked = states.filter(F.col(state_ts).isNotNull())
+    if extra or valid_from or valid_to:
+        ordered = F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(state_tie)], payload.alias("_state"))
+        ranked = ranked.groupBy(*keys, state_ts).agg(F.array_sort(F.collect_list(ordered)).alias("_all"))
+        payload, state_tie = F.transform("_all", lambda s: s["_state"]), ()
     fields = [f"_t{i}" for i in range(len(state_tie))]
     stated = ranked.select(
         *keys, F.col(state_ts).alias("_at"), F.lit(0).cast("bigint").alias("_pos"), payload.alias("_state"),
@@ -79,12 +85,17 @@ def asof_join(
     rows = probe.unionByName(stated, allowMissingColumns=True)
     filled = Ordered(rows, keys, ["_at", "_pos", *fields]).look(_found=("last", "_state")).result()
     out = filled.filter(F.col("_event").isNotNull())
-    good = F.col("_at").isNotNull()
-    if valid_from:
-        good = good & (F.col("_found")[valid_from] <= F.col("_at"))
-    if valid_to:
-        good = good & (F.col("_found")[valid_to] >= F.col("_at"))
-    out = out.withColumn("_found", F.when(good, F.col("_found")))
+    if valid_from or valid_to:
+        def valid(state):
+            good = F.lit(True)
+            if valid_from:
+                good = good & (state[valid_from] <= F.col("_at"))
+            if valid_to:
+                good = good & (state[valid_to] >= F.col("_at"))
+            return good
+
+        out = out.withColumn("_found", F.try_element_at(F.filter("_found", valid), F.lit(-1)))
+    out = out.withColumn("_found", F.when(F.col("_at").isNotNull(), F.col("_found")))
     if how == "inner":
         out = out.filter(F.col("_found").isNotNull())
     return out.select(*keys, *[F.col("_event")[c].alias(c) for c in event_cols], *[F.col("_found")[c].alias(c) for c in cols])

@@ -101,7 +101,7 @@ class Ordered:
             v = F.col(f"_v_{n}")
             # a struct tells "no neighbour" from "neighbour with a null value"
             mine[f"_i_{n}"] = _inside(k, F.struct(v.alias("v")) if k in ("lag", "lead") else v, spec, upto)
-        joined = base.withColumns(mine).join(F.broadcast(carry), same, "left")
+        joined = base.withColumns(mine).join(carry, same, "left")
         done = joined.withColumns({n: _merge(k, F.col(f"_i_{n}"), F.col(f"_c_{n}")) for n, (k, _) in cols.items()})
         keep = [c for c in self.df.columns if c not in cols] + list(cols)
         return self._with(done.select(*keep))
@@ -139,7 +139,7 @@ class Ordered:
         for n, (k, _) in cols.items():
             v = F.col(f"_v_{n}")
             local[f"_i_{n}"] = (F.first(v) if k == "first" else F.last(v) if k == "last" else getattr(F, k)(v)).over(frame)
-        joined = base.withColumns(local).join(F.broadcast(totals), same, "left")
+        joined = base.withColumns(local).join(totals, same, "left")
         done = joined.withColumns(
             {
                 n: F.when(F.col("_hot"), F.col(f"_t_{n}")["v"] if k in ("first", "last") else F.col(f"_t_{n}"))

@@ -74,6 +74,9 @@ def order_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(F.to_utc_timestamp(c.cast("timestamp"), "UTC"))
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("long")
+    if isinstance(kind, (T.DecimalType, T.BooleanType)):
+        # neighbours that share a number share a chunk
+        return c.cast("double")
     if isinstance(kind, T.NumericType):
         return c
     if isinstance(kind, T.StringType):

@@ -312,7 +312,7 @@ def time_since_admission_days(t):
     return _with_admit(t).select("event_id", hosp_day("ts", "admit", base=1).alias("hosp_day"))
 
 
-@query("encounter_report", "D1 D3 F7 F15 F16 G2 E4", f"""
+@query("encounter_report", "D3 F7 F15 F16 G2", f"""
     WITH s AS (SELECT *, first_value(ts) OVER {W} AS t0, first_value(value) OVER {W} AS v0, coalesce({hours('ts', f'lead(ts) OVER {W}')}, 1e0) AS d FROM events),
     n AS (SELECT user_id, value AS v24 FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY abs(epoch_us(ts) - epoch_us(t0) - 86400000000), ts, event_id) = 1)
     SELECT s.user_id, min(v0) AS first_value, min(value) AS lowest_value, round(any_value(v24) - min(v0), 6) AS change_24h, count(*) AS n_readings, count(*) FILTER (value < 20) AS low_num,
@@ -338,7 +338,7 @@ def encounter_report(t):
     )
 
 
-@query("dose_report", "K2 E4 F10 E11", """
+@query("dose_report", "F10", """
     WITH d AS (SELECT l_orderkey, count(*) AS n_doses, sum(l_quantity) AS total, min(l_shipdate) AS first_dose, count(*) FILTER (l_returnflag = 'R') AS n_returned FROM lineitem GROUP BY 1)
     SELECT c_mktsegment, o_orderstatus, count(*) AS n_encounters, sum(n_doses)::BIGINT AS n_doses, sum(total) AS total_dose, count(*) FILTER (first_dose < o_orderdate) AS n_before_admission
     FROM orders JOIN d ON d.l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2

@@ -44,14 +44,19 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Schem
 def read_after_preamble(spark: SparkSession, path: str | Sequence[str], schema: Schema, key: str, null: str = "NA", sep: str = ",") -> DataFrame:
     """Report exports: title lines, then rows without a usable header.
 
-    Names and types are supplied; lines whose ``key`` does not have its type
-    (the preamble and any header) are dropped, so files can still be split.
+    Names and types are supplied; lines whose ``key`` has a value that is not of
+    its type (the preamble and any header) are dropped, so files can still be
+    split.  A row with an unknown key is a row if another of its typed fields, or
+    any field where all are text, has a value.
     """
     shape = _struct(schema)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in shape])
     raw = spark.read.schema(text).option("nullValue", null).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
-    typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in shape])
-    return typed.filter(F.col(key).isNotNull())
+    others = [f for f in shape if f.name != key]
+    telling = [f for f in others if not isinstance(f.dataType, T.StringType)] or others
+    known = F.coalesce(*[F.col(f.name).try_cast(f.dataType).cast("string") for f in telling]).isNotNull() if telling else F.lit(False)
+    row = F.col(key).try_cast(shape[key].dataType).isNotNull() | (F.col(key).isNull() & known)
+    return raw.filter(row).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in shape])
 
 
 def list_stamps(spark: SparkSession, folder: str, pattern: str, stamp: str) -> DataFrame:
