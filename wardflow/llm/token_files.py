@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from .common import column, tune
 
-# Ids per block, 4 bytes each.
+# Ids per block.
 BLOCK_IDS = 1 << 18
 BLOCKS = "file string, block bigint, ids binary"
 
 
-def read_token_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, width: int = 4) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
     """``file, block, ids`` of the flat files under ``path`` (little-endian ids of ``width`` bytes, each file under 2 GB).
 
     A file whose length is no multiple of the width is an error; an empty file gives no block.
@@ -35,17 +35,19 @@ def read_token_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS,
             for file, content in zip(batch["path"], batch["content"]):
                 ids = np.frombuffer(content, f"<u{width}")
                 for i in range(0, len(ids), block_ids):
-                    yield pd.DataFrame({"file": [file], "block": [i // block_ids], "ids": [ids[i : i + block_ids].astype("<u4").tobytes()]})
+                    yield pd.DataFrame({"file": [file], "block": [i // block_ids], "ids": [ids[i : i + block_ids].tobytes()]})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(cut, BLOCKS)
 
 
-def flat_tokens(df: DataFrame, ranks: dict[bytes, int], pattern: str, separator: int, text_col: str = "text", block_ids: int = BLOCK_IDS) -> DataFrame:
+def flat_tokens(df: DataFrame, ranks: dict[bytes, int], pattern: str, separator: int, text_col: str = "text", block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
     """The texts of ``df`` as token streams, one per task, each text followed by the separator and cut into blocks anywhere.
 
     Null and empty texts give the separator alone.  Write the result before it is used more than once: a stream is
-    named by its task.
+    named by its task.  Two bytes hold an id of a vocabulary under 65,536.
     """
+    if max(separator, *ranks.values()) >= 1 << 8 * width:
+        raise ValueError(f"ids of {width} bytes cannot hold this vocabulary")
     sent = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -55,7 +57,7 @@ def flat_tokens(df: DataFrame, ranks: dict[bytes, int], pattern: str, separator:
             for text in batch["text"]:
                 ids = encode(text) if text else []
                 ids.append(separator)
-                held.append(np.array(ids, "<u4"))
+                held.append(np.array(ids, f"<u{width}"))
                 n += len(ids)
                 if n >= block_ids:
                     whole = np.concatenate(held)
@@ -70,12 +72,12 @@ def flat_tokens(df: DataFrame, ranks: dict[bytes, int], pattern: str, separator:
     return df.select(column(text_col).alias("text")).mapInPandas(run, BLOCKS)
 
 
-def _scan(separator: int):
+def _scan(separator: int, width: int):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for data in batch:
-                ids = np.frombuffer(data or b"", "<u4")
+                ids = np.frombuffer(data or b"", f"<u{width}")
                 ends = np.flatnonzero(ids == separator)
                 out.append((len(ids), ends.astype(np.int32), len(ids) - (int(ends[-1]) + 1 if len(ends) else 0)))
             yield pd.DataFrame({"n_ids": [o[0] for o in out], "ends": pd.Series([o[1] for o in out], dtype=object), "tail": [o[2] for o in out]})
@@ -83,7 +85,7 @@ def _scan(separator: int):
     return F.pandas_udf(run, "n_ids bigint, ends array<int>, tail bigint")
 
 
-def count_document_tokens(blocks: DataFrame, separator: int) -> DataFrame:
+def count_document_tokens(blocks: DataFrame, separator: int, width: int = 2) -> DataFrame:
     """``file, doc_no, start, n_tokens`` of every document, from ``file, block, ids``.
 
     ``start`` is the document's first place in the file, separators counted; ``n_tokens`` leaves the separator out.
@@ -92,7 +94,7 @@ def count_document_tokens(blocks: DataFrame, separator: int) -> DataFrame:
     count as none; blocks may come in any order, but ``block`` numbers them within the file without repeats.
     """
     tune(blocks.sparkSession)
-    found = blocks.select(column("file").alias("file"), column("block").cast("bigint").alias("block"), _scan(separator)(column("ids")).alias("s")).select("file", "block", "s.*")
+    found = blocks.select(column("file").alias("file"), column("block").cast("bigint").alias("block"), _scan(separator, width)(column("ids")).alias("s")).select("file", "block", "s.*")
     # The prefix scan needs one row per block.
     before = "over (partition by file order by block rows between unbounded preceding and 1 preceding)"
     scanned = found.selectExpr(

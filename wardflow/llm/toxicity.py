@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
                 seen[y].update(terms_of(text))
                 seen[y][""] += 1
         names = list(seen[0].keys() | seen[1].keys())
-        yield pd.DataFrame({"term": names, "toxic": [seen[1][t] for t in names], "clean": [seen[0][t] for t in names]})
+        yield pd.DataFrame({"term": pd.Series(names, dtype=object), "toxic": [seen[1][t] for t in names], "clean": [seen[0][t] for t in names]})
 
     counted = rows.mapInPandas(count, "term string, toxic bigint, clean bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # Terms of fewer than 4 toxic texts can't be chosen; the sum of all counts is bounded by the sample.
