@@ -90,7 +90,7 @@ def share(df: DataFrame, rows: int) -> float:
 class WordHash(dict):
     """Word (bytes) to its 64-bit hash; the cache empties itself when it holds ``limit`` words."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

@@ -52,13 +52,29 @@ def _need(n: np.ndarray, m: int, percent: int) -> np.ndarray:
 
 
 def point_of(sets: np.ndarray) -> bytes:
-    """Counts per group, one byte each if they all fit, else four."""
-    counts = np.bincount((sets >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
+    """Counts per group, about four shingles to a group in large sets, one byte each if they all fit, else four.
 
+    The number of groups is ``GROUPS`` times a power of two, so a finer point folds to a coarser one.
+    """
+    groups = GROUPS
+    while groups < len(sets) // 4 and groups < 1 << 18:
+        groups *= 2
+    counts = np.bincount((sets >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+    return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\x04" + counts.astype(np.int32).tobytes()
+
+
+def read_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if data[0] == 1 else np.int32, offset=1).astype(np.int32)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    return point.reshape(-1, groups).sum(axis=0)
 
-def _read_point(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8 if len(data) == GROUPS else np.int32).astype(np.int32)
+
+def _coarse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Points of ``GROUPS`` coordinates, which the trees hold."""
+    for batch in batches:
+        yield pd.Series([folded(read_point(x), GROUPS).astype(np.int32).tobytes() for x in batch], dtype=object)
 
 
 class CountTree:
@@ -151,10 +167,13 @@ def _bounded(percent: int):
         for batch in batches:
             if not len(batch):
                 continue
-            a, b = (np.array([_read_point(x) for x in batch[c]]) for c in ("point_a", "point_b"))
-            n, m = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
-            ok = np.minimum(a, b).sum(axis=1) >= -((-percent * (n + m)) // (100 + percent))
-            yield batch.loc[ok, ["a", "b"]]
+            ok = []
+            for n, m, x, y in zip(batch["n_a"], batch["n_b"], batch["point_a"], batch["point_b"]):
+                x, y = read_point(x), read_point(y)
+                groups = min(len(x), len(y))
+                low = int(np.minimum(folded(x, groups), folded(y, groups)).sum())
+                ok.append((100 + percent) * low >= percent * (n + m))
+            yield batch.loc[np.array(ok), ["a", "b"]]
 
     return run
 
@@ -175,7 +194,7 @@ def _tree_pairs(percent: int):
                     if held:
                         out += _within(held, percent)
                     current, held, tree = (key, block), [], None
-                point = _read_point(point)
+                point = np.frombuffer(point, np.int32)
                 if home:
                     held.append((node, comp, n, point))
                     continue
@@ -255,10 +274,16 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return points.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("point").alias(f"point_{name}"))
 
     first = members.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    bound = first.join(side("a"), "a").join(side("b"), "b").mapInPandas(_bounded(percent), "a bigint, b bigint")
-    links = written(_verified(written(bound, "pairs"), known, size, percent), "edges")
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        """Of candidate pairs those whose whole points allow the threshold: far smaller than the sets that verify them."""
+        return written(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_bounded(percent), "a bigint, b bigint"), "pairs")
+
+    links = written(_verified(bounded(first), known, size, percent), "edges")
     comps = components(links)
 
+    coarse = written(points.select("node", "n", F.pandas_udf(_coarse, "binary")("point").alias("point")), "coarse")
+
     # Keys that still hold several components get their trees, one per size class: similar documents are in one class
     # or in neighbouring ones, so each document has its home in its class and searches the next one too.
     # (Classes are wider than the threshold by a hair, so rounding cannot part two such documents by two classes.)
@@ -271,11 +296,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     dealt = placed.drop("near", "own").join(several, ["key", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # The main component's documents meet the others, not each other: each goes to one block, the others to all.
     dealt = dealt.withColumn("block", F.explode(F.when((F.col("comp") == F.col("main")) & F.col("inside"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    dealt = dealt.select("key", "band", "block", (F.col("inside") & (F.col("own") == F.col("block"))).alias("home"), "node", "comp").join(points, "node")
+    dealt = dealt.select("key", "band", "block", (F.col("inside") & (F.col("own") == F.col("block"))).alias("home"), "node", "comp").join(coarse, "node")
     trees = dealt.repartition("key", "band", "block").sortWithinPartitions("key", "band", "block", F.desc("home"))
     trees = trees.select("key", (F.col("band").cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "home", "node", "comp", "n", "point")
     more = written(trees.mapInPandas(_tree_pairs(percent), "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(written(_verified(more, known, size, percent), "edges"))
+    links = links.unionByName(written(_verified(bounded(more), known, size, percent), "edges"))
     comps = components(links)
 
     classes = classes.join(comps, "node", "left").select("set_a", "set_b", F.coalesce("comp", "node").alias("comp"))
