@@ -25,13 +25,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A row without id is in no group and stays; of rows that repeat the kept id one stays.
     """
-    groups = ngram_join.jaccard_components(docs, size=5, percent=80)
-    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti")
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    # Rows with an id of their own need no shuffle of the texts for this.
-    single = kept.join(repeated, "doc_id", "left_anti")
-    return single.unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    groups = written(ngram_join.jaccard_components(docs, size=5, percent=80).where("doc_id is not null"), "groups")
+    acted = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("__copy"), F.count("*").alias("n")).where("__copy or n > 1").drop("n")
+    acted = written(acted, "acted")
+    # Texts of documents that surely stay are not shuffled.
+    _, maybe = ngram_join.id_filter(acted)
+    flagged = docs.withColumn("__maybe", maybe(F.col("doc_id")))
+    stay = flagged.where("not __maybe").drop("__maybe")
+    rest = flagged.where("__maybe").drop("__maybe").join(acted, "doc_id", "left")
+    single, repeated = rest.where("__copy is null"), rest.where("not __copy").dropDuplicates(["doc_id"])
+    return stay.unionByName(single.drop("__copy")).unionByName(repeated.drop("__copy")).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

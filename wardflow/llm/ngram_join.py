@@ -160,6 +160,23 @@ def _filter_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"slot": np.unique((mixed(ids.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32))})
 
 
+def id_filter(ids: DataFrame):
+    """A 1 MB bit map of the ids, broadcast: ``(bits, test)``, where ``test(column)`` is false only for ids not among them.
+
+    Its size is fixed; with very many ids it lets more through, and what it lets through is joined exactly.
+    """
+    slots = ids.select("doc_id").mapInPandas(_filter_slots, "slot int").distinct().agg(F.collect_list("slot")).first()[0]
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[np.array(slots, np.int64)] = True
+    sent = ids.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(sent.value[(mixed(batch.to_numpy(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+
+    return sent, lambda c: F.pandas_udf(run, "boolean").asNondeterministic()(F.coalesce(c, F.lit(0)))
+
+
 def _bounded(percent: int):
     """Keeps the pairs whose summed minima allow the threshold."""
 
@@ -224,12 +241,8 @@ def _within(held: list[tuple], percent: int) -> list[tuple[int, int]]:
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold.  Sets are made again from the texts, of the candidates only."""
-    spark = docs.sparkSession
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    slots = ids.mapInPandas(_filter_slots, "slot int").distinct().agg(F.collect_list("slot")).first()[0]
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[np.array(slots, np.int64)] = True
-    wanted = spark.sparkContext.broadcast(bits)
+    wanted, _ = id_filter(ids)
     sets = docs.mapInPandas(_sets_of(size, wanted), "doc_id bigint, items array<bigint>").join(ids, "doc_id", "left_semi")
     with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
     with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b")
