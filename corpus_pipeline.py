@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import bpe, decontaminate, ngram_join, pii, rules
-from wardflow.llm.common import written
+from wardflow.llm.common import column, written
 from wardflow.llm.queries import VOCABULARY
 
 
@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay = flagged.where("not __maybe").drop("__maybe")
     rest = flagged.where("__maybe").drop("__maybe").join(acted, "doc_id", "left")
     single, repeated = rest.where("__copy is null"), rest.where("not __copy").dropDuplicates(["doc_id"])
-    return stay.unionByName(single.drop("__copy")).unionByName(repeated.drop("__copy")).select(docs.columns)
+    return stay.unionByName(single.drop("__copy")).unionByName(repeated.drop("__copy")).select([column(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every document."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN, block_chars=2_500_000)
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 

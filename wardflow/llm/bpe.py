@@ -64,7 +64,7 @@ def squeeze(*arrays: np.ndarray, data: bytes = b"") -> bytes:
     return zstandard.compress(b"".join(a.astype("<u4").tobytes() for a in arrays) + data)
 
 
-def _blocks(pattern: str, parts: int):
+def _blocks(pattern: str, parts: int, block_chars: int):
     """One row per block: its documents with their packed pre-tokens, and its distinct words by part, most frequent first."""
 
     def made(docs: list, texts: list[np.ndarray], place: dict) -> pd.DataFrame:
@@ -96,7 +96,7 @@ def _blocks(pattern: str, parts: int):
                 docs.append(doc)
                 texts.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)))
                 size += len(text or "")
-                if size >= BLOCK_CHARS or len(docs) >= BLOCK_DOCS:
+                if size >= block_chars or len(docs) >= BLOCK_DOCS:
                     yield made(docs, texts, place)
                     docs, texts, size, place = [], [], 0, defaultdict(itertools.count().__next__)
         if docs:
@@ -180,16 +180,16 @@ def _assembled(digest: bool, token_bytes):
     return run
 
 
-def _run(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, digest: bool) -> DataFrame:
+def _run(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, digest: bool, block_chars: int) -> DataFrame:
     spark = df.sparkSession
     tune(spark)
     # Ids travel as text: exact, and null where null.
     docs = df.select(column(id_col).cast("string").alias("doc_id"), column(text_col).alias("text"))
     # As many parts as blocks: a part has about as many words as a block.
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-chars // BLOCK_CHARS))
+    parts = max(1, -(-chars // block_chars))
     shape = "block bigint, docs array<string>, lengths array<bigint>, sizes array<bigint>, packed binary, home binary, parts array<struct<part: bigint, n: bigint, words: binary>>"
-    blocks = in_buckets(docs.mapInPandas(_blocks(pattern, parts), shape), "block", "blocks")
+    blocks = in_buckets(docs.mapInPandas(_blocks(pattern, parts, block_chars), shape), "block", "blocks")
     sent = spark.sparkContext.broadcast(ranks)
     table = spark.sparkContext.broadcast({i: token for token, i in ranks.items()})
     placed = blocks.select(F.col("block").alias("home"), F.explode("parts").alias("p")).select("home", "p.*")
@@ -199,22 +199,22 @@ def _run(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text
     return whole.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, ids`` per row of ``df``: the token ids of the whole text, each match of ``pattern`` encoded by itself.
 
     Null and empty texts give an empty list; repeated rows and null ids each keep their row; only the two columns
-    named are read.  The vocabulary must hold all 256 single bytes, as byte-level ones do.
+    named are read.  Smaller blocks need less memory per task and shuffle more words.  The vocabulary must hold all 256 single bytes, as byte-level ones do.
     """
-    return _run(df, ranks, pattern, id_col, text_col, digest=False)
+    return _run(df, ranks, pattern, id_col, text_col, digest=False, block_chars=block_chars)
 
 
-def encode_digest(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_digest(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """As ``encode``, then decoded: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     The digests are of the decimal ids joined by commas and of the decoded bytes; an empty text has the digests of
     the empty string.
     """
-    return _run(df, ranks, pattern, id_col, text_col, digest=True)
+    return _run(df, ranks, pattern, id_col, text_col, digest=True, block_chars=block_chars)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -275,11 +275,16 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # Documents with one set are one node, named by the smallest id.
     filled = described.where("doc_id is not null and n > 0")
     classes = filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
-    nodes = filled.join(classes.withColumnRenamed("node", "doc_id"), ["set_a", "set_b", "doc_id"], "left_semi")
+    copies = filled.select("set_a", "set_b", "doc_id").join(classes, ["set_a", "set_b"]).where("doc_id <> node").drop("node").distinct()
+    copies = written(copies, "copies")
+    # Only rows that may be copies are shuffled to be told apart; the others are nodes for sure.
+    _, maybe = id_filter(copies)
+    flagged = filled.withColumn("maybe", maybe(F.col("doc_id")))
+    nodes = flagged.where("not maybe").unionByName(flagged.where("maybe").join(copies, ["set_a", "set_b", "doc_id"], "left_anti")).drop("maybe")
     # Of two similar documents the smaller one has a common key among its first n - ceil(2t / (1 + t) * n) + 1.
-    keyed = nodes.select(F.col("doc_id").alias("node"), "n", "near", F.posexplode("keys").alias("at", "key")).select("key", "node", "n", (F.col("at") < F.col("near")).alias("near"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("near").alias("near")).where("low < high and near").select("key", "low")
-    members = written(keyed.join(shared, "key").select("key", "node", "n", "near", "low"), "members")
+    keyed = nodes.select(F.col("doc_id").alias("node"), "near", F.posexplode("keys").alias("at", "key")).select("key", "node", (F.col("at") < F.col("near")).alias("near"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
+    members = written(keyed.select("key", "node", "near").join(shared, "key").select("key", "node", "near", "low"), "members")
     points = nodes.select(F.col("doc_id").alias("node"), "n", "point").join(members.select("node").distinct(), "node", "left_semi")
     points = written(points.dropDuplicates(["node"]), "points")
 
@@ -301,7 +306,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # or in neighbouring ones, so each document has its home in its class and searches the next one too.
     # (Classes are wider than the threshold by a hair, so rounding cannot part two such documents by two classes.)
     band = F.floor(F.log(F.col("n").cast("double")) / (np.log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else F.col("n").cast("int")
-    placed = members.join(comps, "node", "left").select("key", "node", "near", F.coalesce("comp", "node").alias("comp"), band.alias("own"))
+    placed = members.join(points.select("node", "n"), "node").join(comps, "node", "left").select("key", "node", "near", F.coalesce("comp", "node").alias("comp"), band.alias("own"))
     placed = placed.withColumn("band", F.explode(F.array("own", F.col("own") + 1))).withColumn("inside", F.col("own") == F.col("band"))
     sizes = placed.groupBy("key", "band", "comp").agg(F.count("*").alias("k"), F.max("near").alias("near"), F.max("inside").alias("inside"))
     several = sizes.groupBy("key", "band").agg(F.sum("k").alias("members"), F.max_by("comp", "k").alias("main"), F.count("*").alias("parts"), F.max("near").alias("near"), F.max("inside").alias("inside"))
