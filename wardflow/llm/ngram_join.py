@@ -59,7 +59,10 @@ def point_of(sets: np.ndarray) -> bytes:
     groups = GROUPS
     while groups < len(sets) // 4 and groups < 1 << 18:
         groups *= 2
-    counts = np.bincount((sets >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+    return packed(np.bincount((sets >> np.uint64(40)).astype(np.int64) % groups, minlength=groups))
+
+
+def packed(counts: np.ndarray) -> bytes:
     return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\x04" + counts.astype(np.int32).tobytes()
 
 
@@ -74,7 +77,7 @@ def folded(point: np.ndarray, groups: int) -> np.ndarray:
 def _coarse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Points of ``GROUPS`` coordinates, which the trees hold."""
     for batch in batches:
-        yield pd.Series([folded(read_point(x), GROUPS).astype(np.int32).tobytes() for x in batch], dtype=object)
+        yield pd.Series([packed(folded(read_point(x), GROUPS)) for x in batch], dtype=object)
 
 
 class CountTree:
@@ -211,7 +214,7 @@ def _tree_pairs(percent: int):
                     if held:
                         out += _within(held, percent)
                     current, held, tree = (key, block), [], None
-                point = np.frombuffer(point, np.int32)
+                point = read_point(point)
                 if home:
                     held.append((node, comp, n, point))
                     continue
