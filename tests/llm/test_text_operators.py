@@ -71,6 +71,35 @@ def test_components_of_chains_at_the_threshold(spark):
     assert got == brute_components(rows, 4, 85)
 
 
+def shingles(text, size):
+    words = (text or "").encode().lower().split()
+    return frozenset([tuple(words)] if 0 < len(words) < size else [tuple(words[k : k + size]) for k in range(len(words) - size + 1)])
+
+
+@pytest.mark.parametrize("side", [256, 8])
+def test_links_inside_groups_of_near_copies(spark, monkeypatch, side):
+    monkeypatch.setattr(ngram_join, "SIDE", side)
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(i % 4):
+            words[rng.randrange(80)] = f"x{rng.randrange(4)}"
+        rows.append((i, " ".join(words)))
+    rows += [(100, "no other like this one at all"), (101, None), (102, "u " + " ".join(base[40:]) * 2), (103, "u " + " ".join(base[40:]) * 2)]
+    sets = {i: shingles(text, 4) for i, text in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    name = {i: min(k for k in sets if sets[k] == s) for i, s in sets.items() if s}
+    docs = spark.createDataFrame([*rows, (None, "w1 w2")], "doc_id bigint, text string")
+    links, members = ngram_join.jaccard_links(docs, size=4, percent=85)
+    got = [(r.a, r.b) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == {tuple(sorted((name[a], name[b]))) for a, b in linked if name[a] != name[b]}
+    assert {r.doc_id: r.node for r in members.collect()} == name
+    counts = {r.doc_id: r.n_links for r in ngram_join.jaccard_components(docs, size=4, percent=85, n_links=True).collect()}
+    assert counts == {i: sum(i in pair for pair in linked) for i in sets} | {None: None}
+
+
 def test_components_of_odd_texts(texts, none):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(texts, size=4, percent=80).collect())
     assert [(g[1], g[3]) for g in got] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (5, 5), (6, 6), (7, 1), (8, 8), (9, 9), (0, None)]

@@ -14,6 +14,9 @@ as counted in hashed slots over the whole corpus, so shared passages rarely beco
 Components need no pair twice: documents of one set are one node; each key first proposes links to its
 smallest document; what these prove is merged, and only keys that still join several components get a tree.
 A large key is cut into blocks, each with its tree.
+
+Links need every pair: the trees find those between the components the first links make, and inside each such
+component all sets are compared with each other, block against block.
 """
 
 from __future__ import annotations
@@ -36,6 +39,11 @@ BLOCK = 4000
 # Bits of the filter that keeps most non-candidates from the verification shuffle (1 MB).
 FILTER_BITS = 23
 FANOUT = 16
+# Sets of a component that meet in one comparison: at most so many, and so many shingles, a side.
+SIDE = 256
+SIDE_ITEMS = 2_000_000
+# Distinct shingles compared at once.
+WIDTH = 1 << 15
 
 
 def shingle_set(text: str | None, size: int, cache: WordHash) -> np.ndarray:
@@ -253,16 +261,100 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return with_b.where((100 + percent) * common >= percent * (F.size("items_a") + F.size("items_b"))).select("a", "b").distinct()
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``df``.
+def _all_pairs(percent: int):
+    """The links of each (component, i, j): its sets of block i against those of block j, each pair compared exactly."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, held = None, []
+        for batch in batches:
+            for comp, i, j, own, node, items in zip(*(batch[c] for c in ("comp", "i", "j", "own", "node", "items"))):
+                if (comp, i, j) != current:
+                    if held:
+                        yield _linked(held, current, percent)
+                    current, held = (comp, i, j), []
+                held.append((node, own, np.asarray(items)))
+        if held:
+            yield _linked(held, current, percent)
+
+    return run
+
+
+def _linked(held: list[tuple], task: tuple, percent: int) -> pd.DataFrame:
+    _, i, j = task
+    nodes, own, n = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held]), np.array([len(h[2]) for h in held])
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    distinct, at = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
+    row = np.repeat(np.arange(len(held)), n)
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    common = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, len(distinct), WIDTH):
+        low, high = np.searchsorted(at, [start, start + WIDTH])
+        has = np.zeros((len(held), min(WIDTH, len(distinct) - start)), np.float32)
+        has[row[low:high], at[low:high] - start] = 1
+        common += (has[left] @ has[right].T).astype(np.int64)
+    x, y = np.nonzero((100 + percent) * common >= percent * (n[left][:, None] + n[right]))
+    a, b = nodes[left[x]], nodes[right[y]]
+    use = a < b if i == j else a != b
+    return pd.DataFrame({"a": np.minimum(a, b)[use], "b": np.maximum(a, b)[use]})
+
+
+def _inside(comps: DataFrame, points: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """All links inside the components of more than two nodes (of two, the link that made the component is all)."""
+    members = comps.join(points.select("node", "n"), "node")
+    blocks = F.ceil(F.col("k") / F.greatest(F.lit(8), F.least(F.lit(SIDE), F.floor(F.lit(SIDE_ITEMS) / F.col("n"))))).cast("int")
+    large = members.groupBy("comp").agg(F.count("*").alias("k"), F.max("n").alias("n")).where("k > 2").select("comp", blocks.alias("blocks"))
+    placed = members.select("node", "comp").join(large, "comp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = written(placed, "placed")
+    wanted, _ = id_filter(placed.select(F.col("node").alias("doc_id")))
+    sets = docs.mapInPandas(_sets_of(size, wanted), "doc_id bigint, items array<bigint>").withColumnRenamed("doc_id", "node").join(placed, "node")
+    other = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = other.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "items")
+    return tasks.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInPandas(_all_pairs(percent), "a bigint, b bigint")
+
+
+def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """``(links, members)``: all links between different sets, and the documents of each set.
+
+    ``links`` holds ``a, b`` with ``a < b``, each pair of sets over the threshold once, a set named by its smallest
+    document; ``members`` holds ``node, doc_id``, each document that has shingles with the name of its set.
+    """
+    described, classes, _, links, _ = _joined(df, id_col, text_col, size, percent, every=True)
+    members = described.where("doc_id is not null and n > 0").select("set_a", "set_b", "doc_id").join(classes, ["set_a", "set_b"])
+    return links, members.select("node", "doc_id").distinct()
+
+
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, n_links: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``df``, and with ``n_links`` the number of documents it links to.
 
     Words are runs without ASCII white space, A-Z lower-cased; two documents link when the Jaccard similarity of their
     shingle sets is at least ``percent`` / 100; ``component_id`` is the smallest id reachable by links.
 
     Null and empty texts, and texts of white space, have no shingles and keep their own id.  Equal texts and repeated
     rows share a component; rows that repeat an id count as one document for the links.  A row without id gets its
-    size and no component.  Only the two columns named are read, so other columns may have any name.
+    size, no component and no number of links.  Only the two columns named are read, so other columns may have any name.
     """
+    described, classes, copies, links, comps = _joined(df, id_col, text_col, size, percent, every=n_links)
+    classes = classes.join(comps, "node", "left")
+    counts = []
+    if n_links:
+        copied = copies.groupBy("set_a", "set_b").agg(F.count("*").alias("more"))
+        classes = classes.join(copied, ["set_a", "set_b"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
+        # A link to a set is a link to each of its documents.
+        width = classes.where("comp is not null").select("node", (F.col("more") + 1).alias("k"))
+        ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        others = ways.join(width.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("k").alias("others"))
+        classes = classes.join(others, "node", "left").withColumn("links", F.col("more") + F.coalesce("others", F.lit(0)))
+        counts = ["links"]
+    classes = classes.select("set_a", "set_b", F.coalesce("comp", "node").alias("comp"), *counts)
+    return described.join(classes, ["set_a", "set_b"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"),
+        *[F.when(F.col("doc_id").isNotNull(), F.coalesce(c, F.lit(0))).alias("n_links") for c in counts],
+    )
+
+
+def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int, every: bool) -> tuple[DataFrame, ...]:
+    """``(described, classes, copies, links, comps)``; the links are all of them with ``every``, else enough for the components."""
     spark = df.sparkSession
     tune(spark)
     docs = df.select(column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text"))
@@ -321,10 +413,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     trees = dealt.repartition("key", "band", "block").sortWithinPartitions("key", "band", "block", F.desc("home"))
     trees = trees.select("key", (F.col("band").cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "home", "node", "comp", "n", "point")
     more = written(trees.mapInPandas(_tree_pairs(percent), "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(written(_verified(bounded(more), known, size, percent), "edges"))
-    comps = components(links)
-
-    classes = classes.join(comps, "node", "left").select("set_a", "set_b", F.coalesce("comp", "node").alias("comp"))
-    return described.join(classes, ["set_a", "set_b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id")
-    )
+    more = written(_verified(bounded(more), known, size, percent), "edges")
+    joined = components(links.unionByName(more))
+    if every:
+        links = written(links.unionByName(more).unionByName(_inside(comps, points, known, size, percent)).distinct(), "links")
+    return described, classes, copies, links, joined

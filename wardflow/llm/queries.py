@@ -30,7 +30,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85, n_links=True)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
