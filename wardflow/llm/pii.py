@@ -91,18 +91,20 @@ _STEP = re.compile(
 )
 _GLYPH = re.compile(rf"[{''.join(map(re.escape, HOMOGLYPHS))}！-～{_INVISIBLE}]")
 _BRACKET = re.compile(r"[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]", re.IGNORECASE)
-_RUN = re.compile(_SPELLED)
+_RUN, _AT_STEP, _PLUS_STEP = (re.compile(step, re.IGNORECASE) for step in (_SPELLED, _AT, _PLUS))
 _DIGIT = re.compile(_WORD, re.IGNORECASE)
 
 
 def disguised(text: str) -> bool:
-    """Whether any step of the transducer could apply; plain searches first, as most texts have none."""
-    low = text.lower()
+    """Whether any step of the transducer could change the text; plain searches first, as most texts have none."""
+    low = text.lower().replace("ſ", "s")
     return (
         not text.isascii() and _GLYPH.search(text) is not None
         or " dot " in low
+        or "dot" in low and " at " in low and _AT_STEP.search(text) is not None
+        or "plus " in low and _PLUS_STEP.search(text) is not None
         or any(c in text for c in "[({<") and _BRACKET.search(text) is not None
-        or sum(map(low.count, DIGIT_WORDS)) >= 3 and _RUN.search(low) is not None
+        or sum(map(low.count, DIGIT_WORDS)) >= 3 and _RUN.search(text) is not None
     )
 
 
