@@ -408,3 +408,16 @@ def test_pages_of_odd_kinds(spark):
     got = html.extract_main_text(pages).collect()
     assert len(got) == 7 and all(r.n_chars == len(r.text) for r in got) and html.extract_main_text(pages.where("false")).count() == 0
     assert {r.text for r in got if r.page_id in (1, 2, 3, 6)} == {""}
+
+
+def test_main_text_without_blocks(spark, small):
+    model = html.fit(spark.read.parquet(f"{small}/pages.parquet"))
+    para = "This is a full sentence of the story, and it goes on for a while to say what happened there. " * 3
+    nav, foot = '<nav><a href="/">Home</a> <a href="/x">News</a></nav>', '<footer>&copy; us</footer>'
+    whole = f"{para}Then <b>more</b> of it.<br>Second. {para}"
+    flat = f"{para}Then more of it. Second. {para.strip()}"
+    assert html.main_text(f"<html><head><title>x</title></head><body>{nav}{whole}{foot}</body></html>", model) == flat
+    assert html.main_text(f"<body>{nav}<h1>A title</h1>{whole}{foot}</body>", model) == f"A title\n{flat}"
+    assert html.main_text(whole, model) == flat
+    formula = f"<body>{nav}<article><p>{para}</p><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <object data='a.svg'>a drawing</object>. {para}</p></article>{foot}</body>"
+    assert html.main_text(formula, model) == f"{para.strip()}\nHere x=2 and a drawing. {para.strip()}"

@@ -28,12 +28,14 @@ VARIANTS = 3
 
 # Kinds of elements, by the HTML standard (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg iframe object canvas math".split())
+RAW = frozenset("script style noscript template textarea title svg iframe canvas".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section select"
     " summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSES_P = BLOCK - frozenset("td th tr tbody thead tfoot option".split())
+# The page itself; text directly below it stands in blocks without a name.
+SHELL = frozenset(("#root", "html", "body", "head"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # Words of class names, ids and roles that name parts of a page (fixed values).
 BOILER_WORDS = frozenset(
@@ -88,7 +90,7 @@ def parse(html: str) -> Node:
             at = pos = end.end() if end else (len(html) if tag in ("script", "style") and not m[3].endswith("/") else at)
             continue
         if tag == "br":
-            open_nodes[-1].children.append(" ")
+            _holder(open_nodes[-1], "").children.append(" ")
         if tag == "a":
             in_link += 1
         if tag not in BLOCK or tag in VOID:
@@ -110,8 +112,23 @@ def parse(html: str) -> Node:
     return root
 
 
+def _holder(node: Node, text: str) -> Node:
+    """The block that text belongs to: of text directly below the page a nameless one, up to the next block."""
+    if node.tag not in SHELL:
+        return node
+    last = node.children[-1] if node.children else None
+    if isinstance(last, Node) and last.tag == "#text":
+        return last
+    if not text.strip():
+        return node
+    run = Node("#text", frozenset(), node)
+    node.children.append(run)
+    return run
+
+
 def _text(node: Node, raw: str, in_link: int) -> None:
     text = unescape(raw) if "&" in raw else raw
+    node = _holder(node, text)
     node.children.append(text)
     n = len(text.strip())
     if n:
@@ -184,7 +201,7 @@ def decode(nodes: list[Node], chance: np.ndarray) -> None:
                 best[i] += max(best[j], drop[j])
     for i, node in enumerate(nodes):
         # Root, html and body are the page: they are kept for what is below them.
-        shell = node.tag in ("#root", "html", "body")
+        shell = node.tag in SHELL
         node.keep = (node.parent is None or node.parent.keep) and (shell or best[i] > drop[i])
 
 
@@ -209,9 +226,8 @@ def text_of(root: Node) -> str:
         else:
             flush()
             if item.keep:
-                shell = item.tag in ("#root", "html", "body", "head")
                 stack.append(None)
-                stack.extend(c for c in reversed(item.children) if not (shell and isinstance(c, str)))
+                stack.extend(reversed(item.children))
     flush()
     return "\n".join(out)
 
@@ -286,6 +302,9 @@ def disguise(html: str, spare: list[str], seed: int) -> str:
     rng = random.Random(seed)
     if seed % VARIANTS == 0:
         return html
+    bare = rng.random() < 0.3
+    if bare:
+        html = re.sub(r"(?is)(<article\b[^>]*>)(.*?)(?=</article>)", lambda m: m[1] + _loose(m[2], rng.random() < 0.7), html)
     blocks = []
     for names in (("sidebar", "widget related"), ("cookie-notice", "consent banner"), ("comments", "discussion"), ("newsletter signup", "promo")):
         name, text = rng.choice(names), rng.choice(spare)
@@ -296,7 +315,11 @@ def disguise(html: str, spare: list[str], seed: int) -> str:
         html = re.sub(r"(?i)<article" if before else r"(?i)</article>", lambda m: blocks[0] + blocks[1] + m[0] if before else m[0] + blocks[2] + blocks[3], html, count=1)
     if rng.random() < 0.3:
         html = re.sub(r"(?i)</article>", lambda m: blocks[2] + m[0], html, count=1)
-    if rng.random() < 0.5:
+    if bare:
+        html = re.sub(r"(?i)</?article\b[^>]*>", "", html)
+        links = " | ".join(f'<a href="/{k}">{rng.choice(spare)[: rng.randint(4, 20)]}</a>' for k in range(rng.randint(2, 8)))
+        html = re.sub(r"(?i)<body\b[^>]*>", lambda m: m[0] + links, html, count=1) if rng.random() < 0.5 else re.sub(r"(?i)</body>", lambda m: f"{links} &copy; {rng.choice(spare)[:30]}{m[0]}", html, count=1)
+    elif rng.random() < 0.5:
         main = rng.choice(["post-content", "entry-content", "story-body", "main", "article-text"])
         html = re.sub(r"(?i)<article", f'<div data-on="1" class="{main}"', html)
         html = re.sub(r"(?i)</article>", "</div>", html)
@@ -307,24 +330,35 @@ def disguise(html: str, spare: list[str], seed: int) -> str:
     return html
 
 
+# Stands in text that belongs to the article, in training only.
+_ON = "\ue000"
+
+
+def _loose(inner: str, text: bool) -> str:
+    """The blocks of an article as they stand without it: paragraphs as text with line breaks, or by themselves."""
+    if text:
+        inner = re.sub(r"(?i)</p>", "<br><br>", re.sub(r"(?i)<p\b[^>]*>", _ON, inner))
+    return re.sub(r"(?i)<(p|h[1-6]|ul|ol|table|blockquote|pre|section|div)\b", r'<\1 data-on="1"', inner)
+
+
 _MARKED = re.compile(r"\bdata-(on|off)=\"1\"")
 
 
 def teach(html: str) -> tuple[np.ndarray, np.ndarray] | None:
     """Features and labels of the elements of a page that names its article; None if it names none."""
     marks = re.sub(r"data-(on|off)=\"1\"( class=\")?", lambda m: f'class="zz{m[1]} ' if m[2] else f'role="zz{m[1]}"', html)
-    truth, plain = nodes_of(parse(marks)), nodes_of(parse(_MARKED.sub("", html)))
+    truth, plain = nodes_of(parse(marks)), nodes_of(parse(_MARKED.sub("", html).replace(_ON, "")))
     if len(truth) != len(plain):
         return None
     label: dict[Node, bool] = {}
     for node in truth:
         up = label.get(node.parent, False)
-        on = node.tag in ("article", "main") or "zzon" in node.names
+        on = node.tag in ("article", "main") or "zzon" in node.names or node.tag == "#text" and any(_ON in c for c in node.children)
         off = node.tag in ("nav", "footer", "aside", "form", "header") or "zzoff" in node.names or not BOILER_WORDS.isdisjoint(node.names)
         label[node] = (up or on) and not off
     if not any(label.values()):
         return None
-    use = [i for i, n in enumerate(truth) if n.chars and n.tag not in ("#root", "html", "body", "head")]
+    use = [i for i, n in enumerate(truth) if n.chars and n.tag not in SHELL]
     return describe(plain)[use], np.array([label[truth[i]] for i in use], float)
 
 
