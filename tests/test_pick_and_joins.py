@@ -134,3 +134,20 @@ def test_asof_takes_the_valid_state_of_a_tied_instant(frame, rows):
     ])
     got = joins.asof_join(events, states, ["k"], "at", "st", ["name"], ["sid"], valid_from="beg", valid_to="fin")
     assert rows(got, "at", "name") == [("2024-01-01 10:00:00", "A"), ("2024-01-01 13:00:00", None)]
+
+
+def test_asof_splits_many_states_of_one_instant(spark, frame, rows):
+    start = "2024-01-01 00:00:00"
+    states = spark.range(3000).selectExpr(
+        "if(id < 2990, cast(null as bigint), 1) as k", f"timestamp'{start}' as st", f"timestamp'{start}' + make_interval(0,0,0,0,0,0,id % 2990) as beg",
+        f"timestamp'{start}' + make_interval(0,0,0,0,0,0,id % 2990 + 9) as fin", "id as sid",
+    )
+    events = frame("k bigint, at timestamp, e int", [
+        (None, "2024-01-01 00:10:00", 1), (None, "2024-01-01 00:10:00", 1), (None, "2024-01-02 00:00:00", 2), (1, "2024-01-01 00:00:02", 3), (1, None, 4), (1, "2023-12-31 00:00:00", 5), (2, start, 6),
+    ])
+    got = joins.asof_join(events, states, ["k"], "at", "st", ["sid"], ["sid"], valid_from="beg", valid_to="fin")
+    assert rows(got, "e", "sid") == [(1, 600), (1, 600), (2, None), (3, 2992), (4, None), (5, None), (6, None)]
+    inner = joins.asof_join(events, states, ["k"], "at", "st", ["sid"], ["sid"], strict=True, valid_from="beg", valid_to="fin", how="inner")
+    assert rows(inner, "e", "sid") == [(1, 600), (1, 600), (3, 2992)]
+    # No row holds all states of an instant.
+    assert "collect_list" not in got._jdf.queryExecution().toString()

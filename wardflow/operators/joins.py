@@ -58,14 +58,14 @@ def asof_join(
     event has no state.  Events and states are unioned and the last state is
     carried forward, so the cost is one sort per key, not one search per event.
     States with equal times are ordered by ``state_tie``: without a period the
-    last one counts, with one the last that is valid at the event (all states of
-    an instant are carried, so an instant of one key should hold few).  A state
+    last one counts, with one the last that is valid at the event.  A state
     after the event is not looked at, and an unknown event time has no state.
     """
     keys = list(keys)
     cols = list(cols)
-    extra = [c for c in (valid_from, valid_to) if c and c not in cols]
-    payload = F.struct(*[F.col(c) for c in [*cols, *extra]])
+    if valid_from or valid_to:
+        return _asof_valid(events, states, keys, ts, state_ts, cols, list(state_tie), strict, valid_from, valid_to, how)
+    payload = F.struct(*[F.col(c) for c in cols])
     event_cols = [c for c in events.columns if c not in keys]
     # Position inside one instant: states before events, or after when strict.
     spread = F.pmod(F.xxhash64(*events.columns), F.lit(2**31 - 1)) + 1
@@ -73,10 +73,6 @@ def asof_join(
         *keys, F.col(ts).alias("_at"), (-spread if strict else spread).alias("_pos"), F.struct(*event_cols).alias("_event")
     )
     ranked = states.filter(F.col(state_ts).isNotNull())
-    if extra or valid_from or valid_to:
-        ordered = F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(state_tie)], payload.alias("_state"))
-        ranked = ranked.groupBy(*keys, state_ts).agg(F.array_sort(F.collect_list(ordered)).alias("_all"))
-        payload, state_tie = F.transform("_all", lambda s: s["_state"]), ()
     fields = [f"_t{i}" for i in range(len(state_tie))]
     stated = ranked.select(
         *keys, F.col(state_ts).alias("_at"), F.lit(0).cast("bigint").alias("_pos"), payload.alias("_state"),
@@ -85,22 +81,39 @@ def asof_join(
     rows = probe.unionByName(stated, allowMissingColumns=True)
     filled = Ordered(rows, keys, ["_at", "_pos", *fields]).look(_found=("last", "_state")).result()
     out = filled.filter(F.col("_event").isNotNull())
-    if valid_from or valid_to:
-        def valid(state):
-            good = F.lit(True)
-            if valid_from:
-                good = good & (state[valid_from] <= F.col("_at"))
-            if valid_to:
-                good = good & (state[valid_to] >= F.col("_at"))
-            return good
-
-        out = out.withColumn("_found", F.try_element_at(F.filter("_found", valid), F.lit(-1)))
     out = out.withColumn("_found", F.when(F.col("_at").isNotNull(), F.col("_found")))
     if how == "inner":
         out = out.filter(F.col("_found").isNotNull())
     return out.select(*keys, *[F.col("_event")[c].alias(c) for c in event_cols], *[F.col("_found")[c].alias(c) for c in cols])
 
 
+def _asof_valid(events, states, keys, ts, state_ts, cols, state_tie, strict, valid_from, valid_to, how) -> DataFrame:
+    """The as-of join by period.  Only the latest state instant is carried to each distinct event time; the states
+    of that instant are joined by key and instant, so many states of one instant are a join that Spark can split.
+    """
+    known = states.filter(F.col(state_ts).isNotNull())
+    instants = known.select(*keys, F.col(state_ts).alias("_at")).distinct()
+    instants = instants.select(*keys, "_at", F.lit(0).cast("bigint").alias("_pos"), F.col("_at").alias("_instant"))
+    times = events.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("_at")).distinct()
+    times = times.withColumn("_pos", F.lit(-1 if strict else 1).cast("bigint"))
+    rows = times.unionByName(instants, allowMissingColumns=True)
+    found = Ordered(rows, keys, ["_at", "_pos"]).look(_found=("last", "_instant")).result()
+    found = found.filter((F.col("_pos") != 0) & F.col("_found").isNotNull()).select(*keys, "_at", "_found")
+
+    ordered = F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(state_tie)], F.struct(*[F.col(c) for c in cols]).alias("_state"))
+    tied = known.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(state_ts).alias("_state_at"), ordered.alias("_ordered"),
+        *[F.col(c).alias(name) for c, name in ((valid_from, "_from"), (valid_to, "_to")) if c],
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    valid = ([F.col("_from") <= F.col("_at")] if valid_from else []) + ([F.col("_to") >= F.col("_at")] if valid_to else [])
+    met = found.join(tied, reduce(Column.__and__, same, F.col("_found") == F.col("_state_at"))).filter(reduce(Column.__and__, valid))
+    best = met.groupBy(*keys, "_at").agg(F.max("_ordered").alias("_ordered"))
+    best = best.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_at", F.col("_ordered")["_state"].alias("_state"))
+    out = events.join(best, reduce(Column.__and__, same, F.col(ts) == F.col("_at")), how)
+    return out.select(*keys, *[F.col(c) for c in events.columns if c not in keys], *[F.col("_state")[c].alias(c) for c in cols])
+
+
 def first_state(states: DataFrame, keys, order, label: str, skip=(), targets=None) -> DataFrame:
     """First state of each key outside ``skip``; only keys whose first state is in ``targets``."""
     rows = states.filter(~F.col(label).isin(list(skip))) if skip else states
