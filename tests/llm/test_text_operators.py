@@ -375,6 +375,28 @@ def test_counts_are_stitched_over_blocks(spark, tmp_path, texts, none, ranks):
     assert token_files.count_document_tokens(streams.where("false"), 50256).count() == 0
 
 
+def test_token_files_are_read_in_ranges(spark, tmp_path, texts, ranks):
+    # A sparse file above 2 GB: only its separators are not zero.
+    size = (1 << 31) + (1 << 20)
+    with open(tmp_path / "large file.bin", "wb") as out:
+        for at in (10, 1 << 29, size // 2 - 1):
+            out.seek(2 * at)
+            out.write(b"\x09\x00")
+    (tmp_path / "empty.bin").touch()
+    blocks = token_files.read_token_files(spark, str(tmp_path), block_ids=1 << 22)
+    assert [(r.doc_no, r.n_tokens) for r in token_files.count_document_tokens(blocks, 9).orderBy("doc_no").collect()] == [(0, 10), (1, (1 << 29) - 11), (2, size // 2 - 2 - (1 << 29))]
+    folder = f"{tmp_path}/streams"
+    token_files.write_token_files(token_files.flat_tokens(texts, ranks, PATTERN, 50256, block_ids=100), folder)
+    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = token_files.count_document_tokens(token_files.read_token_files(spark, folder, block_ids=70), 50256)
+    assert sorted(r.n_tokens for r in got.collect()) == sorted(len(own.encode_ordinary(r.text or "")) for r in texts.collect())
+    token_files.write_token_files(token_files.flat_tokens(texts.where("false"), ranks, PATTERN, 50256), f"{folder}-none")
+    assert token_files.count_document_tokens(token_files.read_token_files(spark, f"{folder}-none"), 50256).count() == 0
+    (tmp_path / "streams" / "odd.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="no multiple"):
+        token_files.read_token_files(spark, folder).count()
+
+
 # -- main text
 
 def test_main_text_of_the_pages(spark, small):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe, classifier, decontaminate, html, ngram_join, pii, rules, shards, token_files, toxicity
-from .common import written
+from .common import work_folder, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # An id that the vocabulary leaves free.
@@ -38,10 +41,16 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as flat token streams (written once), then the scan of their blocks."""
+    """The documents as flat token files (written once), then the scan of their blocks; as a table where Python cannot write."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    streams = written(token_files.flat_tokens(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, SEPARATOR), "streams")
-    return token_files.count_document_tokens(streams, SEPARATOR)
+    streams = token_files.flat_tokens(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, SEPARATOR)
+    folder = f"{work_folder(spark)}/llm-streams-{uuid.uuid4().hex}"
+    if token_files._local(folder) is None:
+        return token_files.count_document_tokens(written(streams, "streams"), SEPARATOR)
+    token_files.write_token_files(streams, folder)
+    blocks = token_files.read_token_files(spark, folder)
+    name = F.regexp_extract("file", r"([^/]+)\.bin$", 1)
+    return token_files.count_document_tokens(blocks.withColumn("file", name), SEPARATOR)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,14 @@ number of documents that ended before it and the tokens of the document that is
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import tiktoken
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +27,96 @@ BLOCK_IDS = 1 << 18
 BLOCKS = "file string, block bigint, ids binary"
 
 
+# Bytes that one task reads.
+TASK_BYTES = 32 << 20
+
+
+def _local(path: str) -> str | None:
+    """The path of a file or folder of a mounted file system, None for other stores."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    return path if path.startswith("/") else None
+
+
+def _opened(path: str):
+    if (local := _local(path)) is not None:
+        return open(local, "rb")
+    store, inner = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
+def _reached(path: str) -> bool:
+    try:
+        with _opened(path):
+            return True
+    except Exception:
+        return False
+
+
 def read_token_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
-    """``file, block, ids`` of the flat files under ``path`` (little-endian ids of ``width`` bytes, each file under 2 GB).
+    """``file, block, ids`` of the flat files under ``path`` (little-endian ids of ``width`` bytes).
 
+    Only names and lengths are listed; each block is a range that its task reads by itself, so files may have any size
+    and no task holds one.  A store that Python cannot open is read by Spark, whole files at once, each under 2 GB.
     A file whose length is no multiple of the width is an error; an empty file gives no block.
     """
+    size = block_ids * width
+    files = spark.read.format("binaryFile").load(path)
+    total, sample = files.select("path", "length").where("length > 0").agg(F.sum("length"), F.min("path")).first()
+
+    def blocks_of(file: str, first: int, content: bytes) -> Iterator[pd.DataFrame]:
+        if len(content) % width:
+            raise ValueError(f"{file}: its length is no multiple of {width}")
+        for k, i in enumerate(range(0, len(content), size)):
+            yield pd.DataFrame({"file": [file], "block": [first + k], "ids": [content[i : i + size]]})
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"]):
-                ids = np.frombuffer(content, f"<u{width}")
-                for i in range(0, len(ids), block_ids):
-                    yield pd.DataFrame({"file": [file], "block": [i // block_ids], "ids": [ids[i : i + block_ids].tobytes()]})
+                yield from blocks_of(file, 0, content)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(cut, BLOCKS)
+    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, length, block in zip(batch["path"], batch["length"], batch["block"]):
+                with _opened(file) as opened:
+                    opened.seek(int(block) * size)
+                    content = opened.read(size)
+                if len(content) != min(size, length - block * size):
+                    raise OSError(f"{file} has changed")
+                yield from blocks_of(file, int(block), content)
+
+    if sample is not None and not _reached(sample):
+        return files.select("path", "content").mapInPandas(whole, BLOCKS)
+    listed = files.select("path", "length").where("length > 0")
+    each = listed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length") - 1) / size))))
+    return each.repartition(max(1, -(-(total or 0) // TASK_BYTES)), "path", "block").mapInPandas(ranges, BLOCKS)
+
+
+def write_token_files(streams: DataFrame, folder: str) -> None:
+    """Streams as ``flat_tokens`` makes them (each in one task, in order) as flat files in ``folder``, which all executors mount.
+
+    A file gets its name when it is complete, so a task that fails or runs twice leaves no half file.
+    """
+    local = _local(folder)
+    os.makedirs(local, exist_ok=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, part = None, f"{local}/_{uuid.uuid4().hex}"
+        os.makedirs(local, exist_ok=True)
+        with open(part, "wb") as out:
+            for batch in batches:
+                for file, ids in zip(batch["file"], batch["ids"]):
+                    if name not in (None, file):
+                        raise ValueError("a task holds one stream")
+                    name = file
+                    out.write(ids)
+        if name is None:
+            os.remove(part)
+        else:
+            os.replace(part, f"{local}/{name}.bin")
+        yield pd.DataFrame({"n": [int(name is not None)]})
+
+    streams.mapInPandas(run, "n bigint").agg(F.sum("n")).first()
 
 
 def flat_tokens(df: DataFrame, ranks: dict[bytes, int], pattern: str, separator: int, text_col: str = "text", block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
