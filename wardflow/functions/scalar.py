@@ -226,6 +226,20 @@ RATE_UNITS = [
     ("mg/min", 1000.0, True),
 ]
 
+# Phrases of a free-text rate that hold no rate, the number in it, and the spellings of its units.
+RATE_PHRASES = ["titrate", "see comments", "as directed", "continue at", "for 6-hours.", "over 24 hours", "run at", "infusion rate -"]
+RATE_NUMBER = r"[0-9]\.?[0-9]{0,2}"
+RATE_SPELLINGS = r"microgram[s]?/kg/min|mcg/kg/min|ml/h[r]?|cc/hr|ml per hour|ml/hour"
+RATE_NAMES = {
+    "ml/h": "ml/hr", "cc/hr": "ml/hr", "ml per hour": "ml/hr", "ml/hour": "ml/hr",
+    "micrograms/kg/min": "microgram/kg/min", "mcg/kg/min": "microgram/kg/min",
+}
+# Fixed value: concentration of an infusion that has none on record.
+DEFAULT_CONCENTRATION = 75.0
+
+# Microgram per unit of a bolus dose; doses in other units (mL) are not boluses.
+DOSE_UNITS = {"mg": 1000.0, "microgram": 1.0}
+
 # Salt and vehicle words that are not part of an ingredient name.
 SALT_WORDS = ["dextrose", " in", "sodium chloride", "water for injection sterile", "nacl", "hcl", "d5w"]
 
@@ -261,3 +275,33 @@ def normalize_rate(rate, unit, weight, dose=None, dose_unit=None, concentration=
             out = out.when(unknown & (col(dose_unit) == "mL") & col(concentration).isNotNull(), mg * per_min)
         out = out.when(unknown & (col(dose_unit) == "mg"), col(dose) * per_min)
     return out.otherwise(col(rate))
+
+
+def free_text_rate(text: ColumnLike) -> Column:
+    """``rate`` and ``unit`` of a rate typed as text, null where there is none.
+
+    Phrases that hold no rate are removed, the first number and the first known
+    unit are taken, and the unit gets one name whatever its spelling.
+    """
+    plain = F.regexp_replace(F.lower(col(text)), "|".join(RATE_PHRASES), "")
+    number = F.regexp_extract(plain, RATE_NUMBER, 0)
+    unit = F.nullif(F.regexp_extract(plain, RATE_SPELLINGS, 0), F.lit(""))
+    names = F.create_map(*[F.lit(x) for pair in RATE_NAMES.items() for x in pair])
+    return F.struct(number.try_cast("double").alias("rate"), F.coalesce(F.try_element_at(names, unit), unit).alias("unit"))
+
+
+def free_text_to_weight_rate(text: ColumnLike, weight, concentration=None, volume=None, default: float = DEFAULT_CONCENTRATION) -> Column:
+    """A free-text rate in microgram/kg/min: mL per hour through ``concentration / volume`` (mg per mL); other units are unknown."""
+    read = free_text_rate(text)
+    strength = F.coalesce(col(concentration).try_cast("double"), F.lit(default)) if concentration is not None else F.lit(default)
+    per_ml = strength / F.nullif(col(volume).try_cast("double"), F.lit(0.0)) if volume is not None else strength
+    by_volume = read["rate"] * per_ml * F.lit(1000.0 / 60) / F.nullif(col(weight), F.lit(0.0))
+    return F.when(read["unit"] == "ml/hr", by_volume).when(read["unit"] == "microgram/kg/min", read["rate"])
+
+
+def dose_per_weight(dose: ColumnLike, unit: ColumnLike, weight: ColumnLike, units: Mapping[str, float] = DOSE_UNITS) -> Column:
+    """A dose in microgram/kg; null in units that are not listed."""
+    out = None
+    for name, factor in units.items():
+        out = (F if out is None else out).when(col(unit) == name, col(dose) * F.lit(factor) / F.nullif(col(weight), F.lit(0.0)))
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col
@@ -159,10 +159,15 @@ def frequency_table(df: DataFrame, row: str, column: str, values: Sequence[str])
 def overlap_rate(before: DataFrame, during: DataFrame, keys, item: str) -> DataFrame:
     """Items had before, items had during, both, and the share of the former continued, per key."""
     keys = list(keys)
-    tagged = before.select(*keys, item).withColumns({"_a": F.lit(1), "_b": F.lit(0)}).unionByName(
-        during.select(*keys, item).withColumns({"_a": F.lit(0), "_b": F.lit(1)})
-    )
-    per_item = tagged.groupBy(*keys, item).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    rows = before.select(*keys, item, F.lit(True).alias("_home")).unionByName(during.select(*keys, item, F.lit(False).alias("_home")))
+    return overlap_of(rows, keys, item, F.col("_home"), ~F.col("_home"))
+
+
+def overlap_of(rows: DataFrame, keys, item: str, before: Column, during: Column) -> DataFrame:
+    """As :func:`overlap_rate`, of rows that tell themselves on which side they are (or on both): one pass."""
+    keys = list(keys)
+    rows = rows.select(*keys, item, before.cast("int").alias("_a"), during.cast("int").alias("_b")).filter("_a = 1 or _b = 1")
+    per_item = rows.groupBy(*keys, item).agg(F.max(F.coalesce("_a", F.lit(0))).alias("_a"), F.max(F.coalesce("_b", F.lit(0))).alias("_b"))
     kept = F.sum(F.col("_a") * F.col("_b"))
     return per_item.groupBy(*keys).agg(
         F.count("*").alias("n_items"), F.sum("_a").alias("n_before"), F.sum("_b").alias("n_during"),
@@ -176,9 +181,33 @@ def text_list(df: DataFrame, keys, text: str, order=(), sep: str = ", ", name: s
     Duplicates go before the exchange, so a list is as long as its distinct
     entries, not as the rows of its key.
     """
+    keys, order = list(keys), list(order)
     entries = df.filter(F.col(text).isNotNull()).select(*keys, *order, text).distinct()
+    placed = Ordered(entries, keys, [*dict.fromkeys([*order, text])])
     sorted_ = F.array_sort(F.collect_list(F.struct(*order, text)))
-    return entries.groupBy(*keys).agg(F.array_join(F.transform(sorted_, lambda e: e[text]), sep).alias(name))
+    piece = F.array_join(F.transform(sorted_, lambda e: e[text]), sep)
+    if placed.cuts is None:
+        return entries.groupBy(*keys).agg(piece.alias(name))
+    # A hot key is sorted and joined chunk by chunk; only the finished pieces meet.
+    pieces = placed.df.groupBy(*keys, "_chunk").agg(piece.alias("_piece"))
+    whole = F.array_sort(F.collect_list(F.struct("_chunk", "_piece")))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(whole, lambda e: e["_piece"]), sep).alias(name))
+
+
+def baseline_to_window(rows: DataFrame, keys, value: str, baseline: Column, window: Column, n: int, names=("top_mean", "later_mean")) -> DataFrame:
+    """Mean of the ``n`` largest baseline values (ties kept) and mean of a later window; keys that have both.
+
+    One pass: the rank is taken among the baseline rows of the key, and both
+    means come from the same aggregate.
+    """
+    marked = rows.select(*keys, value, baseline.alias("_base"), window.alias("_window")).filter("_base or _window")
+    order = Window.partitionBy(*keys, "_base").orderBy(F.desc(value))
+    ranked = marked.withColumn("_rank", F.rank().over(order))
+    out = ranked.groupBy(*keys).agg(
+        F.avg(F.when(F.col("_base") & (F.col("_rank") <= n), F.col(value))).alias(names[0]), F.avg(F.when(F.col("_window"), F.col(value))).alias(names[1]),
+        F.bool_or("_base").alias("_b"), F.bool_or("_window").alias("_w"),
+    )
+    return out.filter("_b and _w").drop("_b", "_w")
 
 
 def days_with(df: DataFrame, keys, ts: str, name: str = "n_days") -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import around
-from ..functions.scalar import classify, elapsed, offset, shift_day
-from .joins import first_state
+from ..functions.scalar import DOSE_UNITS, classify, dose_per_weight, elapsed, offset, shift_day
+from .joins import asof_join, first_state
 from .reshape import flag_pivot, value_pivot
 from .series import stays
 
@@ -77,16 +77,24 @@ def blood_products(issued: DataFrame, charted: DataFrame, keys, ts: str, anchor:
 
     A class was given when it was issued at all or charted with a volume above zero.
     """
-    def volumes(df, prefix):
-        rows = df.filter(F.col(ts) <= offset(anchor, within_h)).withColumn("_class", classify(product, classes))
-        sums = rows.filter(F.col("_class").isNotNull()).groupBy(*keys, "_class").agg(F.sum(volume).alias("_vol"))
-        return value_pivot(sums, keys, "_class", list(classes), "_vol", names=prefix + "{name}")
-
-    both = volumes(issued, "prod_").join(volumes(charted, "io_"), list(keys), "full")
+    cols = [*keys, ts, anchor, product, volume]
+    rows = issued.select(*cols, F.lit("prod").alias("_source")).unionByName(charted.select(*cols, F.lit("io").alias("_source")))
+    return blood_products_by_source(rows, keys, ts, anchor, product, volume, "_source", "prod", "io", within_h, classes)
+
+
+def blood_products_by_source(rows: DataFrame, keys, ts: str, anchor: str, product: str, volume: str, source: str, issued, charted,
+                             within_h: float = 4.0, classes: Mapping[str, str] = BLOOD_PRODUCTS) -> DataFrame:
+    """As :func:`blood_products`, of rows that name their source: one pass and one aggregate."""
+    rows = rows.filter(F.col(ts) <= offset(anchor, within_h)).withColumn("_class", classify(product, classes))
+    rows = rows.filter(F.col("_class").isNotNull() & F.col(source).isin(issued, charted))
+    sums = [
+        F.sum(F.when((F.col(source) == kind) & (F.col("_class") == c), F.col(volume))).alias(f"{prefix}_{c}")
+        for kind, prefix in ((issued, "prod"), (charted, "io")) for c in classes
+    ]
     given = {
         f"blood_{c}": F.col(f"prod_{c}").isNotNull() | F.coalesce(F.col(f"io_{c}") > 0, F.lit(False)) for c in classes
     }
-    return both.withColumns(given)
+    return rows.groupBy(*keys).agg(*sums).withColumns(given)
 
 
 def no_exposure_before(index: DataFrame, exposures: DataFrame, keys, index_ts: str, ts: str) -> DataFrame:
@@ -102,8 +110,12 @@ def no_exposure_before(index: DataFrame, exposures: DataFrame, keys, index_ts: s
 def prior_therapy(doses: DataFrame, index: DataFrame, keys, ts: str, med: str, index_ts: str, loaded: str,
                   max_gap_days: float = 5.0, load_days: float = 6.0) -> DataFrame:
     """Days on other drugs before the index drug and whether that (or a loading dose) counts as loaded."""
-    rows = doses.join(index, list(keys)).filter(F.col(ts) < F.col(index_ts))
-    runs = rows.groupBy(*keys, med, index_ts, loaded).agg(F.min(ts).alias("_start"), F.max(ts).alias("_stop"))
+    keys = list(keys)
+    # Per drug its first dose; the last before the index is carried to the index row, so doses never meet index rows.
+    first = doses.groupBy(*keys, med).agg(F.min(ts).alias("_start"))
+    asked = index.select(*keys, index_ts, loaded).distinct().join(first, keys).filter(F.col("_start") < F.col(index_ts))
+    last = doses.select(*keys, med, F.col(ts).alias("_stop"))
+    runs = asof_join(asked, last, [*keys, med], index_ts, "_stop", ["_stop"], strict=True)
     runs = runs.withColumns({
         "_days": elapsed("_start", "_stop", "days"), "_gap": elapsed("_stop", index_ts, "days"),
     }).filter(F.col("_gap") < max_gap_days)
@@ -116,10 +128,12 @@ def prior_therapy(doses: DataFrame, index: DataFrame, keys, ts: str, med: str, i
 
 def med_after_index(index: DataFrame, doses: DataFrame, keys, ts: str, med: str, meds: Sequence[str], index_times: Sequence[str], prefix: str = "") -> DataFrame:
     """Flag per drug given after any of several index times; every index row is kept."""
-    earliest = F.least(*[F.col(c) for c in index_times])
-    base = index.select(*keys).distinct()
-    after = doses.join(index.select(*keys, earliest.alias("_index")), list(keys)).filter(F.col(ts) > F.col("_index"))
-    return base.join(flag_pivot(after, keys, med, meds, prefix), list(keys), "left")
+    earliest = F.min(F.least(*[F.col(c) for c in index_times])).alias("_index")
+    base = index.groupBy(*keys).agg(earliest)
+    # Only a drug's last dose decides, so the join sees one row per key on both sides.
+    last = doses.filter(F.col(med).isin(list(meds))).groupBy(*keys).agg(*[F.max(F.when(F.col(med) == m, F.col(ts))).alias(f"_last_{i}") for i, m in enumerate(meds)])
+    flags = [F.when(F.col(f"_last_{i}") > F.col("_index"), F.lit(True)).alias(f"{prefix}{m}") for i, m in enumerate(meds)]
+    return base.join(last, list(keys), "left").select(*keys, *flags)
 
 
 def culture_positive(cultures: DataFrame, keys, lab: str, text: str, labs: Sequence[str], negative: str = "(?i)no growth|flora",
@@ -153,3 +167,14 @@ def original_order_id(template: str, order: str) -> Column:
     """Order that a charted dose goes back to: itself, or its template."""
     return F.when(F.col(template) == 0, F.col(order)).otherwise(F.col(template))
 
+
+def bolus_per_weight(doses: DataFrame, weights: DataFrame, keys, ts: str, dose: str, unit: str, iv_event: str, weight_ts: str, weight: str,
+                     weight_tie=(), units: Mapping[str, float] = DOSE_UNITS, name: str = "bolus") -> DataFrame:
+    """Bolus doses in microgram/kg, by the last weight at or before the dose.
+
+    A bolus is a charted dose above zero in a listed unit that is no event of an
+    infusion; doses of a key without a weight by then are left out.
+    """
+    given = doses.filter(F.col(iv_event).isNull() & (F.col(dose) > 0) & F.col(unit).isin(list(units)))
+    out = asof_join(given, weights, keys, ts, weight_ts, [weight], weight_tie, how="inner")
+    return out.withColumn(name, dose_per_weight(dose, unit, weight, units))

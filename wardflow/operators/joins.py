@@ -7,10 +7,13 @@ splits hot partitions of the others.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import elapsed, offset
 from .pick import pick_first
@@ -33,7 +36,9 @@ def assemble(base: DataFrame, parts: list[DataFrame], on) -> DataFrame:
     """One wide row per key: ``base`` left-joined with parts that have one row per key.
 
     Parts built by a group-by on the same key are already partitioned by it, so
-    each join adds no exchange for them.
+    the chain moves the base once and no part again, however many parts there
+    are.  Base and parts that :func:`~wardflow.sources.write.write_bucketed`
+    has stored in buckets of the key are not moved at all.
     """
     on = [on] if isinstance(on, str) else list(on)
     return reduce(lambda wide, part: wide.join(part, on, "left"), parts, base)
@@ -47,71 +52,171 @@ def merge_full(parts: list[DataFrame], on) -> DataFrame:
 
 # ----------------------------------------------------------------- as-of join
 
+@dataclass(frozen=True)
+class History:
+    """Dated states of a key: ``at`` orders them, ``tie`` orders those of one instant, the period says when one counts."""
+
+    states: DataFrame
+    at: str
+    cols: Sequence[str]
+    tie: Sequence[str] = ()
+    valid_from: str | None = None
+    valid_to: str | None = None
+
+
+# Place of a row within one instant: period starts, events (strict), states, events, period ends.
+_STARTS, _ENDS = -(2**40), 2**40
+
+
 def asof_join(
     events: DataFrame, states: DataFrame, keys, ts: str, state_ts: str, cols, state_tie=(),
     strict: bool = False, valid_from: str | None = None, valid_to: str | None = None, how: str = "left",
 ) -> DataFrame:
-    """State of each key at event time: the latest state at or before the event.
-
-    ``strict`` looks only before the event.  The state found must also be valid
-    at the event when ``valid_from``/``valid_to`` name its period; otherwise the
-    event has no state.  Events and states are unioned and the last state is
-    carried forward, so the cost is one sort per key, not one search per event.
-    States with equal times are ordered by ``state_tie``: without a period the
-    last one counts, with one the last that is valid at the event.  A state
-    after the event is not looked at, and an unknown event time has no state.
+    """State of each key at event time: the latest state at or before the event, see :func:`asof_histories`."""
+    history = History(states, state_ts, list(cols), list(state_tie), valid_from, valid_to)
+    return asof_histories(events, [history], keys, ts, strict, how)
+
+
+def asof_histories(events: DataFrame, histories: Sequence[History], keys, ts: str, strict: bool = False, how: str = "left") -> DataFrame:
+    """The state of several histories at event time, all in one pass over the events.
+
+    Of each history the latest state at or before the event counts (``strict``:
+    before it); one that is not valid at the event counts as none, it does not
+    uncover an older one.  States with equal times are ordered by ``tie``:
+    without a period the last one counts, with one the last that is valid at
+    the event.  An unknown event time has no state; ``how="inner"`` keeps events
+    that have a state in every history.  Column names of the histories must
+    differ from each other and from those of the events.
+
+    Events and states are unioned and the last state of every history is carried
+    forward: one exchange and one sort whatever the number of histories.
+    Histories with periods are first turned into steps, see :func:`_steps`.
     """
     keys = list(keys)
-    cols = list(cols)
-    if valid_from or valid_to:
-        return _asof_valid(events, states, keys, ts, state_ts, cols, list(state_tie), strict, valid_from, valid_to, how)
-    payload = F.struct(*[F.col(c) for c in cols])
     event_cols = [c for c in events.columns if c not in keys]
-    # Position inside one instant: states before events, or after when strict.
-    spread = F.pmod(F.xxhash64(*events.columns), F.lit(2**31 - 1)) + 1
-    probe = events.select(
-        *keys, F.col(ts).alias("_at"), (-spread if strict else spread).alias("_pos"), F.struct(*event_cols).alias("_event")
-    )
-    ranked = states.filter(F.col(state_ts).isNotNull())
-    fields = [f"_t{i}" for i in range(len(state_tie))]
-    stated = ranked.select(
-        *keys, F.col(state_ts).alias("_at"), F.lit(0).cast("bigint").alias("_pos"), payload.alias("_state"),
-        *[F.col(c).alias(f) for c, f in zip(state_tie, fields)],
-    )
-    rows = probe.unionByName(stated, allowMissingColumns=True)
-    filled = Ordered(rows, keys, ["_at", "_pos", *fields]).look(_found=("last", "_state")).result()
+    # Place inside one instant: any spread that the row itself decides, so that a hot instant can be cut.
+    if is_small(events, *[h.states for h in histories]):
+        spread = F.lit(1).cast("bigint")
+    else:
+        plain = [c for c in events.columns if isinstance(events.schema[c].dataType, T.AtomicType)]
+        spread = F.pmod(F.xxhash64(*plain), F.lit(2**31 - 1)) + 1
+    rows = events.select(*keys, F.col(ts).alias("_at"), (-spread if strict else spread).alias("_pos"), F.struct(*event_cols).alias("_event"))
+    ties, found = [], {}
+    for i, history in enumerate(histories):
+        fields = [f"_t{i}_{j}" for j in range(len(history.tie))]
+        known = history.states.filter(F.col(history.at).isNotNull())
+        if history.valid_from or history.valid_to:
+            stated = _steps(known, history, keys, events.schema[ts].dataType).withColumnRenamed("_step", f"_s{i}")
+        else:
+            state = F.struct(F.struct(*history.cols).alias("v")).alias(f"_s{i}")
+            tied = [F.col(c).alias(f) for c, f in zip(history.tie, fields)]
+            stated = known.select(*keys, F.col(history.at).alias("_at"), F.lit(0).cast("bigint").alias("_pos"), state, *tied)
+            ties += fields
+        rows = rows.unionByName(stated, allowMissingColumns=True)
+        found[f"_f{i}"] = ("last", f"_s{i}")
+    filled = Ordered(rows, keys, ["_at", "_pos", *ties]).look(**found).result()
     out = filled.filter(F.col("_event").isNotNull())
-    out = out.withColumn("_found", F.when(F.col("_at").isNotNull(), F.col("_found")))
+    out = out.withColumns({f: F.when(F.col("_at").isNotNull(), F.col(f)["v"]) for f in found})
     if how == "inner":
-        out = out.filter(F.col("_found").isNotNull())
-    return out.select(*keys, *[F.col("_event")[c].alias(c) for c in event_cols], *[F.col("_found")[c].alias(c) for c in cols])
+        out = out.filter(reduce(Column.__and__, [F.col(f).isNotNull() for f in found]))
+    states = [F.col(f"_f{i}")[c].alias(c) for i, h in enumerate(histories) for c in h.cols]
+    return out.select(*keys, *[F.col("_event")[c].alias(c) for c in event_cols], *states)
 
 
-def _asof_valid(events, states, keys, ts, state_ts, cols, state_tie, strict, valid_from, valid_to, how) -> DataFrame:
-    """The as-of join by period.  Only the latest state instant is carried to each distinct event time; the states
-    of that instant are joined by key and instant, so many states of one instant are a join that Spark can split.
+def _steps(known: DataFrame, history: History, keys: list[str], kind: T.DataType) -> DataFrame:
+    """States with periods as steps: rows ``_at, _pos, _step`` such that the last step before an event tells its state.
+
+    A state begins a step when it is entered or when its period starts, if that
+    is later, and ends it when the period ends, if that is before the next
+    instant of the key.  That is all for instants of one state.  Where several
+    states of an instant have periods, the steps come from :func:`_tied_steps`.
     """
-    known = states.filter(F.col(state_ts).isNotNull())
-    instants = known.select(*keys, F.col(state_ts).alias("_at")).distinct()
-    instants = instants.select(*keys, "_at", F.lit(0).cast("bigint").alias("_pos"), F.col("_at").alias("_instant"))
-    times = events.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("_at")).distinct()
-    times = times.withColumn("_pos", F.lit(-1 if strict else 1).cast("bigint"))
-    rows = times.unionByName(instants, allowMissingColumns=True)
-    found = Ordered(rows, keys, ["_at", "_pos"]).look(_found=("last", "_instant")).result()
-    found = found.filter((F.col("_pos") != 0) & F.col("_found").isNotNull()).select(*keys, "_at", "_found")
-
-    ordered = F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(state_tie)], F.struct(*[F.col(c) for c in cols]).alias("_state"))
-    tied = known.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(state_ts).alias("_state_at"), ordered.alias("_ordered"),
-        *[F.col(c).alias(name) for c, name in ((valid_from, "_from"), (valid_to, "_to")) if c],
+    at = F.col(history.at).cast(kind)
+    start = F.greatest(at, F.col(history.valid_from).cast(kind)) if history.valid_from else at
+    stop = F.col(history.valid_to).cast(kind) if history.valid_to else F.lit(None).cast(kind)
+    valid = F.lit(True)
+    if history.valid_from:
+        valid = valid & F.col(history.valid_from).isNotNull()
+    if history.valid_to:
+        valid = valid & F.coalesce(stop >= start, F.lit(False))
+    ties = [f"_t{i}" for i in range(len(history.tie))]
+    state = F.struct(*[F.col(c).alias(f) for c, f in zip(history.tie, ties)], F.struct(*history.cols).alias("v"))
+    lean = known.select(*keys, at.alias("_at"), start.alias("_from"), stop.alias("_to"), F.when(valid, state).alias("_state"))
+    # Of states with one period only the greatest can be found.
+    lean = lean.groupBy(*keys, "_at", "_from", "_to").agg(F.max("_state").alias("_state"))
+    # From the end, so that all states of an instant see the next one.
+    placed = Ordered(lean, keys, ["_at", "_from", "_to"], backward=True).look(_after=("lag", "_at"), _before=("lead", "_at"))
+    placed = placed.look(_next=("last", F.when(F.col("_after") != F.col("_at"), F.col("_after"))))
+    rows = placed.result().withColumn("_tied", F.coalesce((F.col("_before") == F.col("_at")) | (F.col("_after") == F.col("_at")), F.lit(False)))
+
+    one, p, q = F.col("_state")["v"], F.col("_from"), F.col("_to")
+    none, known_state = F.when(F.lit(False), one), F.col("_state").isNotNull()
+    single = F.array(
+        F.struct("_at", F.lit(0).cast("bigint").alias("_pos"), F.struct(F.when(p == F.col("_at"), one).alias("v")).alias("_step")),
+        F.when(known_state & (p > F.col("_at")) & _until(p, "<="), F.struct(p.alias("_at"), F.lit(_STARTS).alias("_pos"), F.struct(one.alias("v")).alias("_step"))),
+        F.when(known_state & _until(q, "<"), F.struct(q.alias("_at"), F.lit(_ENDS).alias("_pos"), F.struct(none.alias("v")).alias("_step"))),
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    valid = ([F.col("_from") <= F.col("_at")] if valid_from else []) + ([F.col("_to") >= F.col("_at")] if valid_to else [])
-    met = found.join(tied, reduce(Column.__and__, same, F.col("_found") == F.col("_state_at"))).filter(reduce(Column.__and__, valid))
-    best = met.groupBy(*keys, "_at").agg(F.max("_ordered").alias("_ordered"))
-    best = best.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_at", F.col("_ordered")["_state"].alias("_state"))
-    out = events.join(best, reduce(Column.__and__, same, F.col(ts) == F.col("_at")), how)
-    return out.select(*keys, *[F.col(c) for c in events.columns if c not in keys], *[F.col("_state")[c].alias(c) for c in cols])
+    plain = rows.filter("not _tied").withColumn("_each", F.explode(F.filter(single, lambda x: x.isNotNull())))
+    return plain.select(*keys, "_each.*").unionByName(_tied_steps(rows.filter("_tied"), keys))
+
+
+def _until(x: Column, sign: str) -> Column:
+    """``x`` is a time before (or at) the next instant of the key."""
+    reached = x <= F.col("_next") if sign == "<=" else x < F.col("_next")
+    return x.isNotNull() & (F.col("_next").isNull() | reached)
+
+
+def _tied_steps(tied: DataFrame, keys: list[str]) -> DataFrame:
+    """Steps of instants with several states: at every period bound the greatest state valid there.
+
+    The bounds of an instant are numbered.  A period is cut into dyadic ranges
+    of numbers, of each range only its greatest state is kept, and a bound looks
+    in the ranges that hold it, so m states cost m log m rows, which are keyed
+    by instant and range and thus spread over tasks.
+    """
+    def bound(at, side, when=None):
+        found = F.struct(F.col(at).alias("at"), F.lit(side).alias("side"))
+        return found if when is None else F.when(when, found)
+
+    # Sides: at the bound, and just behind it.
+    valid = F.col("_state").isNotNull()
+    bounds = F.array(bound("_at", 0), bound("_from", 0, valid), bound("_to", 0, valid & F.col("_to").isNotNull()), bound("_to", 1, valid & F.col("_to").isNotNull()))
+    group = F.struct(*keys, F.col("_at").alias("_instant")).alias("_g")
+    ends = tied.select(group, "_next", F.col("_from").alias("p"), F.col("_to").alias("q"), F.col("_state").alias("o"), F.explode(F.array_compact(bounds)).alias("_b")).select("*", "_b.*").drop("_b")
+    numbered = Ordered(ends, ["_g"], ["at", "side"]).look(_last=("lag", F.struct("at", "side")))
+    numbered = numbered.with_columns({"_new": (~F.col("_last").eqNullSafe(F.struct("at", "side"))).cast("bigint")}).look(r=("sum", "_new")).whole(n=("max", "r"))
+    rows = numbered.result()
+
+    # Without an end a state is valid at every bound behind its start.
+    ranged = rows.filter("o is not null").groupBy("_g", "n", "o", "p", "q").agg(
+        F.min(F.when((F.col("at") == F.col("p")) & (F.col("side") == 0), F.col("r"))).alias("low"), F.max(F.when((F.col("at") == F.col("q")) & (F.col("side") == 0), F.col("r"))).alias("high"),
+    ).withColumn("stop", F.coalesce("high", "n") + 1)
+    ranged = ranged.withColumn("k", F.explode(F.sequence(F.lit(0), F.length(F.bin("stop")))))
+    ranged = ranged.withColumns({"x": F.expr("shiftright(low + shiftleft(1L, k) - 1, k)"), "y": F.expr("shiftright(stop, k)")}).filter("x < y")
+    pieces = F.array(F.when(F.col("x") % 2 == 1, F.col("x")), F.when(F.col("y") % 2 == 1, F.col("y") - 1))
+    ranges = ranged.withColumn("i", F.explode(F.array_compact(pieces))).groupBy("_g", "k", "i").agg(F.max("o").alias("o"))
+
+    asked = rows.groupBy("_g", "_next", "n", "at", "side").agg(F.min("r").alias("r"))
+    asked = asked.filter(F.when(F.col("side") == 1, _until(F.col("at"), "<")).otherwise(_until(F.col("at"), "<=")))
+    asked = asked.withColumn("k", F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("n") + 1))))).withColumn("i", F.expr("shiftright(r, k)"))
+    best = asked.join(ranges, ["_g", "k", "i"], "left").groupBy("_g", "at", "side").agg(F.max("o").alias("o"))
+    place = F.when(F.col("side") == 1, F.lit(_ENDS)).when(F.col("at") == F.col("_g")["_instant"], F.lit(0).cast("bigint")).otherwise(F.lit(_STARTS))
+    return best.select(*[F.col("_g")[k].alias(k) for k in keys], F.col("at").alias("_at"), place.alias("_pos"), F.struct(F.col("o")["v"].alias("v")).alias("_step"))
+
+
+def asof_tied(events: DataFrame, states: DataFrame, keys, ts: str, state_ts: str, cols, valid_from: str, valid_to: str, strict: bool = False) -> DataFrame:
+    """Events with every state of the latest instant that is valid at the event, one row per state.
+
+    The instant is carried to the event in one pass; its states are then met by
+    key, instant and period, an interval join that spreads over bins of time.
+    """
+    keys = list(keys)
+    known = states.filter(F.col(state_ts).isNotNull())
+    instants = known.select(*keys, F.col(state_ts).alias("_state_at"), F.col(state_ts).alias("_instant"))
+    found = asof_histories(events, [History(instants, "_state_at", ["_instant"])], keys, ts, strict, "inner")
+    spans = known.select(*keys, F.col(state_ts).alias("_instant"), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *[F.col(c).alias(f"_c_{c}") for c in cols])
+    met = interval_join(found, spans, [*keys, "_instant"], ts, "_from", "_to")
+    return met.select(*events.columns, *[F.col(f"_c_{c}").alias(c) for c in cols])
 
 
 def first_state(states: DataFrame, keys, order, label: str, skip=(), targets=None) -> DataFrame:
@@ -179,7 +284,7 @@ def interval_join(points: DataFrame, spans: DataFrame, keys, ts: str, start: str
     used = spans.select(_level(F.col(start), F.col(stop)).alias("level")).distinct().collect()
     levels = sorted(r["level"] for r in used) or [0]
     if how == "left":
-        return _match_left(points, spans, keys, ts, start, stop, inside, levels)
+        return _match_left(points, spans, keys, ts, start, stop, closed, inside, levels)
     return _match(points, spans, keys, ts, start, stop, inside, levels, how)
 
 
@@ -194,15 +299,27 @@ def _match(points, spans, keys, ts, start, stop, inside, levels, how="inner"):
     return left.join(right, reduce(lambda a, b: a & b, on) & inside, how).drop(*right_keys, "_bin", "_sbin")
 
 
-def _match_left(points, spans, keys, ts, start, stop, inside, levels):
-    """Left form with bins: equal points are matched once, then points without a span are added."""
-    counted = points.groupBy(*points.columns).agg(F.count("*").cast("int").alias("_copies"))
-    found = _match(counted, spans, keys, ts, start, stop, inside, levels)
-    seen = found.select(*[F.col(c).alias(f"_f_{c}") for c in points.columns]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in points.columns])
-    both = found.unionByName(counted.join(seen, same, "left_anti"), allowMissingColumns=True)
-    copies = both.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return copies.select(*points.columns, *[c for c in spans.columns if c not in keys])
+def _match_left(points, spans, keys, ts, start, stop, closed, inside, levels):
+    """Left form with bins: the matches, and the points that no span covers."""
+    found = _match(points, spans, keys, ts, start, stop, inside, levels)
+    alone = _uncovered(points, spans, keys, ts, start, stop, closed)
+    return found.unionByName(alone, allowMissingColumns=True).select(*points.columns, *[c for c in spans.columns if c not in keys])
+
+
+def _uncovered(points, spans, keys, ts, start, stop, closed):
+    """Points that lie in no span of their key: begun less ended spans are counted along time, in one pass."""
+    kind = points.schema[ts].dataType
+    known = spans.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys], F.lit(True)))
+    if closed != "both":  # such a span holds no point
+        known = known.filter(F.col(start) < F.col(stop))
+    begins, ends = (-1 if closed in ("both", "left") else 1), (1 if closed in ("both", "right") else -1)
+    rows = points.select(*keys, F.col(ts).alias("_at"), F.lit(0).alias("_pos"), F.struct(*points.columns).alias("_point"))
+    for at, pos, step in ((start, begins, 1), (stop, ends, -1)):
+        told = known.select(*keys, F.col(at).cast(kind).alias("_at"), F.lit(pos).alias("_pos"), F.lit(step).cast("bigint").alias("_change"))
+        rows = rows.unionByName(told, allowMissingColumns=True)
+    out = Ordered(rows, keys, ["_at", "_pos"]).look(_open=("sum", "_change")).result()
+    free = F.col("_at").isNull() | (F.coalesce("_open", F.lit(0)) == 0)
+    return out.filter(F.col("_point").isNotNull() & free).select("_point.*")
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys, a_start, a_stop, b_start, b_stop) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import elapsed
-from .skew import Cuts, find_cuts, order_number
+from .skew import Cuts, find_cuts, order_number, setting
 
 LOOK = ("lag", "lead", "sum", "max", "min", "last")
 WHOLE = ("first", "last", "sum", "max", "min", "count")
@@ -151,7 +151,7 @@ class Ordered:
         return self._with(done.select(*keep))
 
 
-_CUTTABLE = ("byte", "short", "integer", "long", "float", "double", "timestamp", "date", "string")
+_CUTTABLE = ("byte", "short", "integer", "long", "float", "double", "timestamp", "date", "string", "binary")
 
 
 def _inside(kind, c, spec, upto):
@@ -336,13 +336,14 @@ def rolling(df, keys, ts, value, hours, fn="max", name="rolling"):
     and including each row's time; rows at the same time see each other, rows
     without a time see nothing.
 
-    Without hot keys this is one RANGE frame, whose cost per row is the number
-    of rows in the frame.  Hot keys take a road that is linear in the rows
-    however dense they are, see :func:`_rolling_linear`.
+    Where windows hold few rows this is one RANGE frame, whose cost per row is
+    the number of rows in the frame.  Dense windows, and hot keys, take a road
+    that is linear in the rows however dense they are, see
+    :func:`_rolling_linear`; the rows per window's width tell which.
     """
     width = int(hours * 3_600_000_000)
     cuts = find_cuts(df, keys, ts)
-    if cuts is None:
+    if cuts is None and not _dense(df, keys, ts, width):
         spec = Window.partitionBy(*keys).orderBy(F.unix_micros(ts)).rangeBetween(-width, 0)
         return df.withColumn(name, F.when(F.col(ts).isNotNull(), getattr(F, fn)(value).over(spec)))
     steps = {"max": ("max",), "min": ("min",), "sum": ("sum",), "count": ("count",), "avg": ("sum", "count")}[fn]
@@ -356,6 +357,18 @@ def rolling(df, keys, ts, value, hours, fn="max", name="rolling"):
     return out.select(*[c for c in df.columns if c != name], name)
 
 
+# A row's frame may hold this many rows on average before the linear road is cheaper.
+DENSE_ROWS = "spark.wardflow.denseRows"
+DEFAULT_DENSE_ROWS = 256
+
+
+def _dense(df, keys, ts, width) -> bool:
+    """The frames hold many rows: counted per key and block of the window's width, which bounds the work of a RANGE frame."""
+    blocks = df.filter(F.col(ts).isNotNull()).groupBy(*keys, F.floor(F.unix_micros(ts) / F.lit(width))).agg(F.count("*").cast("double").alias("n"))
+    found = blocks.agg(F.sum(F.col("n") * F.col("n")).alias("work"), F.sum("n").alias("rows")).first()
+    return bool(found["rows"]) and found["work"] / found["rows"] > setting(df.sparkSession, DENSE_ROWS, DEFAULT_DENSE_ROWS)
+
+
 def _rolling_linear(df, keys, ts, value, width, fn, name, cuts):
     """Rolling value from time blocks as wide as the window.
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,7 +65,7 @@ def scanned_bytes(df: DataFrame) -> int | None:
 
 
 def order_number(df: DataFrame, name: str) -> Column:
-    """An ordering column as a number that sorts the same way."""
+    """An ordering column as a number, or a text, that sorts the same way."""
     kind = df.schema[name].dataType
     c = F.col(name)
     if isinstance(kind, T.TimestampType):
@@ -80,10 +80,14 @@ def order_number(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.NumericType):
         return c
     if isinstance(kind, T.StringType):
-        # the first 7 bytes; texts that share them share a chunk
-        head = F.substring(F.encode(c, "UTF-8"), 1, 7)
-        return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
-    raise TypeError(f"{name}: hot keys can only be cut along a time or number, not {kind.simpleString()}")
+        return c
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, T.DayTimeIntervalType):
+        return F.unix_micros(F.timestamp_micros(F.lit(0).cast("bigint")) + c)
+    if isinstance(kind, T.YearMonthIntervalType):
+        return F.extract(F.lit("YEAR"), c) * 12 + F.extract(F.lit("MONTH"), c)
+    raise TypeError(f"{name}: hot keys can only be cut along a time, a number or a text, not {kind.simpleString()}")
 
 
 class Cuts:
@@ -100,25 +104,27 @@ class Cuts:
 
     def table(self) -> DataFrame:
         """One row per hot key: its cut points, grouped for a two-step lookup."""
-        real = any(isinstance(v, float) for cuts in self.points.values() for p in cuts for v in p)
-        kind = "double" if real else "bigint"
+        kinds = [self._kind(i) for i in (0, 1)]
         rows = []
         for h, cuts in self.points.items():
-            if real:
-                cuts = [tuple(None if v is None else float(v) for v in p) for p in cuts]
+            cuts = [tuple(float(v) if v is not None and k == "double" else v for v, k in zip(p, kinds)) for p in cuts]
             if not self.paired:
                 cuts = [a for a, _ in cuts]
             step = max(1, math.isqrt(len(cuts)))
             groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
             rows.append((h, step, [g[0] for g in groups], groups))
-        point = f"struct<a:{kind},b:{kind}>" if self.paired else kind
+        point = f"struct<a:{kinds[0]},b:{kinds[1]}>" if self.paired else kinds[0]
         return self.spark.createDataFrame(
             rows, f"_h bigint, _step int, _heads array<{point}>, _groups array<array<{point}>>"
         )
 
+    def _kind(self, part: int) -> str:
+        values = [p[part] for cuts in self.points.values() for p in cuts if p[part] is not None]
+        return "string" if any(isinstance(v, str) for v in values) else "double" if any(isinstance(v, float) for v in values) else "bigint"
+
     def mark(self, df: DataFrame, keys: list[str], at: Column, tie: Column | None = None) -> DataFrame:
         """Add ``_h`` (key hash), ``_hot`` and ``_chunk``, the latter monotone in the order within a key."""
-        tie = F.lit(None).cast("bigint") if tie is None else tie
+        tie = F.lit(None).cast(self._kind(1)) if tie is None else tie
 
         def reached(point):
             if not self.paired:
@@ -174,7 +180,7 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
         return None
 
     points = _quantile_points(spark, lean.select("h", "a"), hot, target)
-    cuts = {h: sorted({(a, None) for a in values}, key=lambda p: p[0]) for h, values in points.items()}
+    cuts = {h: sorted({(a, None) for a in values}, key=lambda p: _sorted_as(p[0])) for h, values in points.items()}
     if tie:
         # One instant that fills several chunks is cut again along the tie-break column.
         crowded = {(h, a): values.count(a) for h, values in points.items() for a in set(values) if values.count(a) > 1}
@@ -189,13 +195,20 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
                 h, a = by_hash[x]
                 cuts[h] = cuts[h] + [(a, b) for b in set(values) if b is not None]
             for h in cuts:
-                cuts[h] = sorted(set(cuts[h]), key=lambda p: (p[0], p[1] is not None, p[1] or 0))
+                cuts[h] = sorted(set(cuts[h]), key=lambda p: (_sorted_as(p[0]), p[1] is not None, p[1] is not None and _sorted_as(p[1])))
     cuts = {h: c for h, c in cuts.items() if c}
     return Cuts(spark, cuts) if cuts else None
 
 
+def _sorted_as(value):
+    """Texts are ordered by their bytes, as Spark orders them."""
+    return value.encode() if isinstance(value, str) else value
+
+
 def _quantile_points(spark, rows: DataFrame, hot: dict[int, float], target: float) -> dict[int, list]:
     """Every ``target``-th value of ``a`` (approximately) for each hot ``h``."""
+    if isinstance(rows.schema["a"].dataType, T.StringType):
+        return _text_points(spark, rows, hot, target)
     most = min(MAX_CHUNKS, max(2, math.ceil(max(hot.values()) / target)))
     shares = [i / most for i in range(1, most)]
     keys = spark.createDataFrame([(h, max(1, round(most * target / n))) for h, n in hot.items()], "h bigint, every int")
@@ -209,3 +222,27 @@ def _quantile_points(spark, rows: DataFrame, hot: dict[int, float], target: floa
     )
     # at most MAX_CHUNKS values, see the module comment
     return {row["h"]: [v for v in row["q"] or [] if v is not None] for row in picked.collect()}
+
+
+# Cut points between texts are cut to the first of these lengths that tells them apart from the text before.
+_TEXT_LENGTHS = (16, 64, 256, 1024)
+
+
+def _text_points(spark, rows: DataFrame, hot: dict[int, float], target: float) -> dict[int, list]:
+    """As :func:`_quantile_points` for texts: every n-th of the sampled texts themselves, in their own order.
+
+    A hot key has at most ``MAX_CHUNKS * PLACED_ROWS`` sampled texts, which one task sorts.
+    """
+    parts = spark.createDataFrame([(h, max(2, min(MAX_CHUNKS, math.ceil(n / target)))) for h, n in hot.items()], "h bigint, parts int")
+    placed = rows.filter(F.col("a").isNotNull()).join(F.broadcast(parts), "h")
+    if target > PLACED_ROWS:
+        placed = placed.sample(PLACED_ROWS / target, seed=19)
+    order = Window.partitionBy("h").orderBy("a")
+    ranked = placed.withColumns({"i": F.row_number().over(order), "n": F.count("*").over(Window.partitionBy("h")), "before": F.lag("a").over(order)})
+    place = F.floor((F.col("i") - 1) * F.col("parts") / F.col("n"))
+    picked = ranked.filter((F.col("i") > 1) & (place != F.floor((F.col("i") - 2) * F.col("parts") / F.col("n"))))
+    heads = [F.when(F.left("a", F.lit(n)) > F.col("before"), F.left("a", F.lit(n))) for n in _TEXT_LENGTHS]
+    points: dict[int, list] = {}
+    for row in picked.select("h", F.coalesce(*heads, "a").alias("a")).collect():
+        points.setdefault(row["h"], []).append(row["a"])
+    return {h: sorted(values, key=str.encode) for h, values in points.items()}

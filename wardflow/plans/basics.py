@@ -441,6 +441,45 @@ def normalized_rates(t):
     return rows.select("l_orderkey", n.cast("bigint").alias("l_linenumber"), "l_partkey", F.round(adj, 8).alias("rate_adj"))
 
 
+_RATE_TEXTS = {
+    0: ("Titrate as directed, run at ", " mL/hr"), 1: ("Infusion rate - ", " cc/hr"), 2: ("", " ml per hour over 24 hours"), 3: ("continue at 2.25 mcg/kg/min", None),
+    4: ("see comments ", " Micrograms/kg/min"), 5: ("per protocol", None), 6: (None, None), 7: ("for 6-hours. ", "0 ml/h"), 8: ("", " units/hr"),
+}
+
+
+def _rate_text(n, quantity):
+    """A typed rate by row: known and unknown units, phrases without a rate, and none."""
+    out = None
+    for case, (before, after) in _RATE_TEXTS.items():
+        text = F.lit(before) if after is None else F.concat(F.lit(before), quantity, F.lit(after))
+        out = (F if out is None else out).when(n % 9 == case, text)
+    return out
+
+
+_RATE_SQL = " ".join(
+    f"WHEN {case} THEN " + ("NULL" if before is None else f"'{before}'" if after is None else f"'{before}' || l_quantity::INT || '{after}'") for case, (before, after) in _RATE_TEXTS.items()
+)
+
+
+@query("free_text_rates", "K14", rf"""
+    WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, 50 + l_suppkey % 50 AS weight, CASE WHEN l_returnflag = 'A' THEN NULL ELSE 100 + l_partkey % 3 END AS concentration,
+      CASE (l_orderkey + l_linenumber) % 9 {_RATE_SQL} END AS freetext FROM lineitem),
+    p AS (SELECT *, regexp_replace(lower(freetext), 'titrate|see comments|as directed|continue at|for 6-hours.|over 24 hours|run at|infusion rate -', '', 'g') AS plain FROM r),
+    u AS (SELECT *, try_cast(regexp_extract(plain, '[0-9]\.?[0-9]{{0,2}}') AS DOUBLE) AS free_rate, nullif(regexp_extract(plain, 'microgram[s]?/kg/min|mcg/kg/min|ml/h[r]?|cc/hr|ml per hour|ml/hour'), '') AS unit FROM p),
+    n AS (SELECT *, CASE WHEN unit IN ('ml/h', 'cc/hr', 'ml per hour', 'ml/hour') THEN 'ml/hr' WHEN unit IN ('micrograms/kg/min', 'mcg/kg/min') THEN 'microgram/kg/min' ELSE unit END AS free_unit FROM u)
+    SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, free_rate, free_unit, round(CASE free_unit WHEN 'ml/hr' THEN free_rate * (coalesce(concentration, 75) / 250e0) * (1000e0 / 60) / weight
+      WHEN 'microgram/kg/min' THEN free_rate END, 8) AS rate_adj FROM n
+""")
+def free_text_rates(t):
+    text = _rate_text(F.col("l_orderkey") + F.col("l_linenumber"), F.col("l_quantity").cast("int").cast("string"))
+    rows = t.lineitem.withColumns({"freetext": text, "weight": 50 + F.col("l_suppkey") % 50, "concentration": F.when(F.col("l_returnflag") != "A", 100 + F.col("l_partkey") % 3), "volume": F.lit(250.0)})
+    read = S.free_text_rate("freetext")
+    return rows.select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", read["rate"].alias("free_rate"), read["unit"].alias("free_unit"),
+        F.round(S.free_text_to_weight_rate("freetext", "weight", "concentration", "volume"), 8).alias("rate_adj"),
+    )
+
+
 @query("canonical_medication", "K15", """
     WITH m AS (SELECT p_partkey, trim(regexp_replace(lower(p_name || ' HCl in Dextrose'), 'dextrose| in|sodium chloride|water for injection sterile|nacl|hcl|d5w', '', 'g')) AS plain FROM part)
     SELECT p_partkey, CASE WHEN regexp_matches(plain, 'widget') THEN 'widget' WHEN regexp_matches(plain, 'get|ring') THEN 'ring' ELSE plain END AS medication FROM m

@@ -213,9 +213,7 @@ def blood_products(t):
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), decode("p_type", names, "Saline").alias("product"))
     anchors = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("admit"))
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linestatus", "l_quantity", "l_shipdate").join(parts, "l_partkey").join(anchors, "l_orderkey")
-    return features.blood_products(
-        rows.filter("l_linestatus = 'O'"), rows.filter("l_linestatus = 'F'"), ["l_orderkey"], "l_shipdate", "admit", "product", "l_quantity"
-    )
+    return features.blood_products_by_source(rows, ["l_orderkey"], "l_shipdate", "admit", "product", "l_quantity", "l_linestatus", "O", "F")
 
 
 @query("no_exposure_before_index", "K19 E7 E9", """
@@ -358,3 +356,20 @@ def dose_report(t):
 def survival_of_readings(t):
     rows = _with_admit(t).select("user_id", (F.floor(elapsed("admit", "ts", "hours") / 72) * 72.0).alias("bin"))
     return rows.groupBy("bin").agg(F.count_distinct("user_id").alias("n_users"), F.count("*").alias("n"))
+
+
+@query("bolus_by_weight", "K14 E14", """
+    WITH d AS (SELECT o_custkey AS person, l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity - 5 AS dose, CASE l_returnflag WHEN 'A' THEN 'mg' WHEN 'N' THEN 'microgram' ELSE 'mL' END AS unit FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+      WHERE l_linestatus = 'F'),
+    w AS (SELECT o_custkey AS person, o_orderdate, o_totalprice / 1000 AS weight FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1)
+    SELECT d.l_orderkey, d.l_linenumber::BIGINT AS l_linenumber, d.l_partkey, round(CASE unit WHEN 'mg' THEN dose * 1000 / weight ELSE dose / weight END, 6) AS bolus
+    FROM d ASOF JOIN w ON d.person = w.person AND d.l_shipdate >= w.o_orderdate WHERE dose > 0 AND unit <> 'mL'
+""")
+def bolus_by_weight(t):
+    doses = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("person")), "l_orderkey").select(
+        "person", "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_shipdate", (F.col("l_quantity") - 5).alias("dose"),
+        F.when(F.col("l_returnflag") == "A", "mg").when(F.col("l_returnflag") == "N", "microgram").otherwise("mL").alias("unit"), F.when(F.col("l_linestatus") != "F", "Begin Bag").alias("iv_event"),
+    )
+    weights = t.orders.select(F.col("o_custkey").alias("person"), F.col("o_orderdate").alias("weighed"), "o_orderkey", (F.col("o_totalprice") / 1000).alias("weight"))
+    out = features.bolus_per_weight(doses, weights, ["person"], "l_shipdate", "dose", "unit", "iv_event", "weighed", "weight", ["o_orderkey"])
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("bolus", 6).alias("bolus"))

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import elapsed, hosp_day
 from ..operators import agg, reshape, series
-from ..operators.pick import top_mean
 from .registry import hours, query
 
 FIRST = "min(ts) OVER (PARTITION BY user_id)"
@@ -133,7 +132,8 @@ def frequency_table(t):
 """)
 def home_inpatient_overlap(t):
     rows = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
-    out = agg.overlap_rate(rows.filter("l_linestatus = 'O'"), rows.filter("l_linestatus = 'F'"), ["o_custkey"], "l_suppkey")
+    status = F.col("l_linestatus")
+    out = agg.overlap_of(rows, ["o_custkey"], "l_suppkey", status == "O", status == "F")
     return out.withColumn("share_continued", F.round("share_continued", 9))
 
 
@@ -205,13 +205,10 @@ def max_dose_per_weight(t):
     SELECT user_id, round(top, 6) AS top_mean, round(later, 6) AS later_mean, round(1 - later / top, 6) AS pct_change, later <= top * 0.75e0 AS decreased FROM m JOIN t USING (user_id)
 """)
 def change_from_baseline_mean(t):
-    rows = _since_first(t)
-    top = top_mean(rows.filter("hrs <= 96"), ["user_id"], "value", 3, "top_mean")
-    later = rows.filter("hrs > 240 and hrs <= 480").groupBy("user_id").agg(F.avg("value").alias("later_mean"))
-    out = later.join(top, "user_id").withColumns({
+    out = agg.baseline_to_window(_since_first(t), ["user_id"], "value", F.col("hrs") <= 96, F.col("hrs").between(240, 480) & (F.col("hrs") > 240), 3)
+    return _rounded(out.withColumns({
         "pct_change": 1 - F.col("later_mean") / F.col("top_mean"), "decreased": F.col("later_mean") <= F.col("top_mean") * 0.75,
-    })
-    return _rounded(out)
+    }))
 
 
 @query("days_with_dose", "F23", "SELECT user_id, event_type, count(DISTINCT ts::DATE) AS n_days FROM events GROUP BY 1, 2")
@@ -223,23 +220,26 @@ def days_with_dose(t):
     WITH r AS (SELECT event_type, value, count(*) FILTER (user_id % 2 = 0) AS a, count(*) AS t FROM events GROUP BY 1, 2),
     c AS (SELECT *, sum(t) OVER (PARTITION BY event_type ORDER BY value) AS upto FROM r),
     s AS (SELECT event_type, sum(a)::DOUBLE AS n1, (sum(t) - sum(a))::DOUBLE AS n2, sum(a * (upto - t + (t + 1) / 2))::DOUBLE AS rs, sum(t::DOUBLE * t * t - t) AS ties FROM c GROUP BY 1),
-    u AS (SELECT event_type, n1, n2, rs - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1))) AS v FROM s)
-    SELECT event_type, n1::BIGINT AS n_first, n2::BIGINT AS n_second, u, round((u - n1 * n2 / 2 - sign(u - n1 * n2 / 2) * 0.5e0) / sqrt(v), 6) AS z FROM u
+    u AS (SELECT event_type, n1, n2, rs - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1))) AS v FROM s),
+    t AS (SELECT *, (u - n1 * n2 / 2 - sign(u - n1 * n2 / 2) * 0.5e0) / sqrt(v) AS z, 1 / (1 + 0.2316419e0 * abs((u - n1 * n2 / 2 - sign(u - n1 * n2 / 2) * 0.5e0) / sqrt(v))) AS k FROM u)
+    SELECT event_type, n1::BIGINT AS n_first, n2::BIGINT AS n_second, u, round(z, 6) AS z, round(2 * least(0.5e0, 0.3989422804014327e0 * exp(-z * z / 2) * (k * (0.31938153e0 + k * (-0.356563782e0 + k * (1.781477937e0 + k * (-1.821255978e0 + k * 1.330274429e0)))))), 6) AS p_approx FROM t
 """)
 def rank_sum_test(t):
     rows = t.events.withColumn("arm", F.when(F.col("user_id") % 2 == 0, "a").otherwise("b"))
     out = agg.rank_sum(rows, "arm", "a", "b", "value", ["event_type"])
-    return out.select("event_type", "n_first", "n_second", "u", F.round("z", 6).alias("z"))
+    return out.select("event_type", "n_first", "n_second", "u", F.round("z", 6).alias("z"), F.round("p_approx", 6).alias("p_approx"))
 
 
 @query("rank_sum_overall", "F24 F11", """
     WITH r AS (SELECT l_quantity AS value, count(*) FILTER (l_returnflag = 'A') AS a, count(*) AS t FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1),
     c AS (SELECT *, sum(t) OVER (ORDER BY value) AS upto FROM r),
-    s AS (SELECT sum(a)::DOUBLE AS n1, (sum(t) - sum(a))::DOUBLE AS n2, sum(a * (upto - t + (t + 1) / 2))::DOUBLE AS rs, sum(t::DOUBLE * t * t - t) AS ties FROM c)
-    SELECT n1::BIGINT AS n_first, n2::BIGINT AS n_second, rs - n1 * (n1 + 1) / 2 AS u FROM s
+    s AS (SELECT sum(a)::DOUBLE AS n1, (sum(t) - sum(a))::DOUBLE AS n2, sum(a * (upto - t + (t + 1) / 2))::DOUBLE AS rs, sum(t::DOUBLE * t * t - t) AS ties FROM c),
+    u AS (SELECT n1, n2, rs - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1))) AS v FROM s),
+    t AS (SELECT *, (u - n1 * n2 / 2 - sign(u - n1 * n2 / 2) * 0.5e0) / sqrt(v) AS z, 1 / (1 + 0.2316419e0 * abs((u - n1 * n2 / 2 - sign(u - n1 * n2 / 2) * 0.5e0) / sqrt(v))) AS k FROM u)
+    SELECT n1::BIGINT AS n_first, n2::BIGINT AS n_second, u, round(2 * least(0.5e0, 0.3989422804014327e0 * exp(-z * z / 2) * (k * (0.31938153e0 + k * (-0.356563782e0 + k * (1.781477937e0 + k * (-1.821255978e0 + k * 1.330274429e0)))))), 6) AS p_approx FROM t
 """)
 def rank_sum_overall(t):
-    return agg.rank_sum(t.lineitem, "l_returnflag", "A", "R", "l_quantity").select("n_first", "n_second", "u")
+    return agg.rank_sum(t.lineitem, "l_returnflag", "A", "R", "l_quantity").select("n_first", "n_second", "u", F.round("p_approx", 6).alias("p_approx"))
 
 
 @query("five_number_summary", "F25", """

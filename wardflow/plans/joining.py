@@ -7,6 +7,7 @@ from ..functions.scalar import elapsed, offset
 from ..operators import joins, reshape
 from ..operators.features import original_order_id
 from ..operators.agg import part_of_total
+from ..operators.pick import pick_first
 from ..operators.series import rolling
 from .registry import days, hours, query
 
@@ -52,7 +53,7 @@ def composite_key_left_join(t):
     FROM orders LEFT JOIN d ON d.l_orderkey = o_orderkey LEFT JOIN r ON r.l_orderkey = o_orderkey LEFT JOIN x ON x.l_orderkey = o_orderkey
 """)
 def wide_assembly(t):
-    # Features of one fact come from one aggregate; parts of other facts would be further list entries.
+    # Features of one fact come from one aggregate.
     returned, is_open = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     doses = t.lineitem.groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("total_dose"), F.min("l_shipdate").alias("first_dose"), F.count("*").cast("double").alias("n_doses"),
@@ -62,6 +63,34 @@ def wide_assembly(t):
     return joins.assemble(base, [doses], "l_orderkey").withColumn("returned", F.coalesce("returned", F.lit(False)))
 
 
+@query("assembled_parts", "E4", """
+    WITH o AS (SELECT o_custkey AS k, count(*)::DOUBLE AS n_orders, max(o_totalprice) AS top_price FROM orders GROUP BY 1),
+    l AS (SELECT o_custkey AS k, sum(l_quantity) AS total_dose, min(l_shipdate) AS first_dose FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1),
+    e AS (SELECT user_id AS k, count(*)::DOUBLE AS n_readings, max(value) AS top_value FROM events GROUP BY 1),
+    f AS (SELECT user_id AS k, event_type AS first_kind FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1),
+    x AS (SELECT o_custkey AS k, bool_or(o_orderstatus = 'F') AS finished, max(o_orderdate) AS last_order FROM orders WHERE o_totalprice > 100000 GROUP BY 1),
+    p AS (SELECT user_id AS k, count(*) FILTER (event_type = 'click')::DOUBLE AS clicks, count(*) FILTER (event_type = 'error')::DOUBLE AS errors FROM events WHERE value > 20 GROUP BY 1)
+    SELECT c_custkey AS k, c_mktsegment, n_orders, top_price, total_dose, first_dose, n_readings, top_value, first_kind, finished, last_order, clicks, errors
+    FROM customer LEFT JOIN o ON o.k = c_custkey LEFT JOIN l ON l.k = c_custkey LEFT JOIN e ON e.k = c_custkey LEFT JOIN f ON f.k = c_custkey LEFT JOIN x ON x.k = c_custkey LEFT JOIN p ON p.k = c_custkey
+""")
+def assembled_parts(t):
+    def count(when=None):
+        return (F.count("*") if when is None else F.count_if(when)).cast("double")
+
+    owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k"))
+    kind = F.col("event_type")
+    orders, events = t.orders.withColumnRenamed("o_custkey", "k"), t.events.withColumnRenamed("user_id", "k")
+    parts = [
+        orders.groupBy("k").agg(count().alias("n_orders"), F.max("o_totalprice").alias("top_price")),
+        t.lineitem.join(owner, "l_orderkey").groupBy("k").agg(F.sum("l_quantity").alias("total_dose"), F.min("l_shipdate").alias("first_dose")),
+        events.groupBy("k").agg(count().alias("n_readings"), F.max("value").alias("top_value")),
+        pick_first(events, ["k"], ["ts", "event_id"]).select("k", F.col("event_type").alias("first_kind")),
+        orders.filter("o_totalprice > 100000").groupBy("k").agg(F.bool_or(F.col("o_orderstatus") == "F").alias("finished"), F.max("o_orderdate").alias("last_order")),
+        events.filter("value > 20").groupBy("k").agg(count(kind == "click").alias("clicks"), count(kind == "error").alias("errors")),
+    ]
+    return joins.assemble(t.customer.select(F.col("c_custkey").alias("k"), "c_mktsegment"), parts, "k")
+
+
 @query("full_outer_merge", "E5", """
     SELECT l_orderkey, day, i.vol AS vol_in, o.vol AS vol_out FROM
       (SELECT l_orderkey, date_trunc('month', l_shipdate) AS day, sum(l_quantity) AS vol FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2) i
@@ -161,7 +190,7 @@ def asof_state_at_event(t):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.col("state_order").cast("double").alias("state_order"), "state")
 
 
-@query("asof_with_validity", "E11 E12", f"""
+@query("asof_with_validity", "E11", f"""
     WITH {_STATES}
     SELECT d.l_orderkey, d.l_linenumber, d.l_partkey, s.o_orderkey AS state_order FROM d ASOF JOIN s ON d.o_custkey = s.o_custkey AND d.l_shipdate >= s.o_orderdate
     WHERE d.l_shipdate <= s.o_orderdate + INTERVAL 90 DAY AND s.o_orderstatus <> 'P'
@@ -177,6 +206,56 @@ def asof_with_validity(t):
     return out.filter("state <> 'P'").select("l_orderkey", "l_linenumber", "l_partkey", "state_order")
 
 
+_HISTORIES = """e AS (SELECT o_orderkey, o_custkey AS person, o_orderdate + INTERVAL 966 HOUR AS t FROM orders),
+    a AS (SELECT o_custkey AS person, o_orderdate AS at, o_orderdate + (o_orderkey % 5 - 2) * INTERVAL 1 DAY AS f, o_orderdate + INTERVAL 90 DAY AS u, o_orderkey AS loc_order, o_orderstatus AS location FROM orders),
+    b AS (SELECT o_custkey AS person, date_trunc('month', l_shipdate) AS at, l_shipdate AS f, l_shipdate + INTERVAL 20 DAY AS u, l_orderkey, l_linenumber, l_suppkey AS attending FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    lb AS (SELECT e.o_orderkey, max(b.at) AS at FROM e JOIN b ON b.person = e.person AND b.at <= e.t GROUP BY 1)"""
+
+
+def _order_events(t):
+    return t.orders.select(F.col("o_custkey").alias("person"), "o_orderkey", offset("o_orderdate", 966).alias("ordered"))
+
+
+def _attending(t):
+    """A history by month whose periods begin within the month, so an instant has many states."""
+    owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("person"))
+    return t.lineitem.join(owner, "l_orderkey").select(
+        "person", F.date_trunc("month", "l_shipdate").alias("month"), F.col("l_shipdate").alias("att_from"), offset("l_shipdate", 20, "days").alias("att_to"),
+        F.col("l_orderkey").alias("att_order"), F.col("l_linenumber").cast("bigint").alias("att_line"), F.col("l_suppkey").alias("attending"),
+    )
+
+
+@query("asof_two_histories", "E11 E12", f"""
+    WITH {_HISTORIES},
+    la AS (SELECT e.o_orderkey, max(a.at) AS at FROM e JOIN a ON a.person = e.person AND a.at <= e.t GROUP BY 1),
+    fa AS (SELECT e.o_orderkey, a.loc_order, a.location FROM e JOIN la USING (o_orderkey) JOIN a ON a.person = e.person AND a.at = la.at AND e.t BETWEEN a.f AND a.u
+      QUALIFY row_number() OVER (PARTITION BY e.o_orderkey ORDER BY loc_order DESC) = 1),
+    fb AS (SELECT e.o_orderkey, b.attending FROM e JOIN lb USING (o_orderkey) JOIN b ON b.person = e.person AND b.at = lb.at AND e.t BETWEEN b.f AND b.u
+      QUALIFY row_number() OVER (PARTITION BY e.o_orderkey ORDER BY b.l_orderkey DESC, b.l_linenumber DESC, b.attending DESC) = 1)
+    SELECT o_orderkey, loc_order::DOUBLE AS loc_order, location, attending::DOUBLE AS attending FROM e LEFT JOIN fa USING (o_orderkey) LEFT JOIN fb USING (o_orderkey)
+""")
+def asof_two_histories(t):
+    places = t.orders.select(
+        F.col("o_custkey").alias("person"), F.col("o_orderdate").alias("moved"), (F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 5 - 2).cast("int"))).alias("loc_from"),
+        offset("o_orderdate", 90, "days").alias("loc_to"), F.col("o_orderkey").alias("loc_order"), F.col("o_orderstatus").alias("location"),
+    )
+    histories = [
+        joins.History(places, "moved", ["loc_order", "location"], ["loc_order"], "loc_from", "loc_to"),
+        joins.History(_attending(t), "month", ["attending"], ["att_order", "att_line"], "att_from", "att_to"),
+    ]
+    out = joins.asof_histories(_order_events(t), histories, ["person"], "ordered")
+    return out.select("o_orderkey", F.col("loc_order").cast("double").alias("loc_order"), "location", F.col("attending").cast("double").alias("attending"))
+
+
+@query("asof_every_tied_state", "E11 E12", f"""
+    WITH {_HISTORIES}
+    SELECT e.o_orderkey, b.l_orderkey AS att_order, b.l_linenumber::BIGINT AS att_line, b.attending FROM e JOIN lb USING (o_orderkey) JOIN b ON b.person = e.person AND b.at = lb.at AND e.t BETWEEN b.f AND b.u
+""")
+def asof_every_tied_state(t):
+    cols = ["att_order", "att_line", "attending"]
+    return joins.asof_tied(_order_events(t), _attending(t), ["person"], "ordered", "month", cols, "att_from", "att_to").select("o_orderkey", *cols)
+
+
 @query("last_value_before_event", "E14", f"""
     WITH {_STATES}
     SELECT d.l_orderkey, d.l_linenumber, d.l_partkey, s.o_totalprice AS last_weight FROM d ASOF LEFT JOIN s ON d.o_custkey = s.o_custkey AND d.l_shipdate > s.o_orderdate

@@ -34,3 +34,15 @@ def write_run(df: DataFrame, path: str, day: dt.date) -> str:
     target = f"{path.rstrip('/')}/run_date={day:%Y-%m-%d}"
     df.write.mode("overwrite").parquet(target)
     return target
+
+
+def write_bucketed(df: DataFrame, table: str, on, buckets: int, path: str | None = None) -> DataFrame:
+    """Store ``df`` as a table in buckets of ``on``, sorted within them, and read it back.
+
+    Tables with the same key and number of buckets are joined and grouped by the
+    key without an exchange, so parts that many reports assemble are moved once.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    writer = df.repartition(buckets, *on).write.mode("overwrite").bucketBy(buckets, *on).sortBy(*on)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
