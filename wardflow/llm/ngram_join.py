@@ -16,7 +16,8 @@ smallest document; what these prove is merged, and only keys that still join sev
 A large key is cut into blocks, each with its tree.
 
 Links need every pair: the trees find those between the components the first links make, and inside each such
-component all sets are compared with each other, block against block.
+component all sets are compared with each other, block against block.  The number of links of a document is summed up
+where its set is compared, so no link becomes a row.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ GROUPS = 128
 SLOT_BITS = 18
 # Members of a key that one tree holds.
 BLOCK = 4000
-# Bits of the filter that keeps most non-candidates from the verification shuffle (1 MB).
+# Bits of the filter that keeps the texts of most non-candidates in the JVM (1 MB).
 FILTER_BITS = 23
 FANOUT = 16
 # Sets of a component that meet in one comparison: at most so many, and so many shingles, a side.
@@ -151,41 +152,41 @@ def _describe(size: int, percent: int, ranks):
     return start
 
 
-def _sets_of(size: int, wanted):
-    """The whole sets of the documents that the filter lets through."""
+def _sets_of(size: int):
+    """The whole sets of documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, bits = WordHash(), wanted.value
+        cache = WordHash()
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(np.int64)
-            batch = batch[bits[(mixed(ids.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
             sets = [shingle_set(text, size, cache).view(np.int64) for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "items": pd.Series(sets, dtype=object)})
 
     return run
 
 
-def _filter_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        ids = batch["doc_id"].to_numpy(np.int64)
-        yield pd.DataFrame({"slot": np.unique((mixed(ids.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32))})
+def _some_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Sets of the documents whose ids are listed; the bit map keeps nearly all other texts in the JVM, the join drops the rest."""
+    wanted = flag_possible(docs, marks_of(ids)).where("__maybe").select("doc_id", "text")
+    return wanted.mapInPandas(_sets_of(size), "doc_id bigint, items array<bigint>").join(ids.select("doc_id"), "doc_id", "left_semi")
 
 
-def id_filter(ids: DataFrame):
-    """A 1 MB bit map of the ids, broadcast: ``(bits, test)``, where ``test(column)`` is false only for ids not among them.
+def marks_of(ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """A bit map of the ids as rows of 64 bits: at most ``2**FILTER_BITS / 64`` rows (2 MB), whatever the number of ids."""
+    slot = _slot(F.col(id_col))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int")))
+    return written(ids.groupBy(F.shiftright(slot, 6).alias("__word")).agg(bits.alias("__bits")), "marks")
 
-    Its size is fixed; with very many ids it lets more through, and what it lets through is joined exactly.
-    """
-    slots = ids.select("doc_id").mapInPandas(_filter_slots, "slot int").distinct().agg(F.collect_list("slot")).first()[0]
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[np.array(slots, np.int64)] = True
-    sent = ids.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(sent.value[(mixed(batch.to_numpy(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+def _slot(c):
+    return F.shiftrightunsigned(F.xxhash64(c), 64 - FILTER_BITS)
+
 
-    return sent, lambda c: F.pandas_udf(run, "boolean").asNondeterministic()(F.coalesce(c, F.lit(0)))
+def flag_possible(df: DataFrame, marks: DataFrame, id_col: str = "doc_id", name: str = "__maybe") -> DataFrame:
+    """``df`` with ``name``: false only for ids that are surely not among the marked ones; the bit map is broadcast, its size is fixed."""
+    slot = _slot(F.col(id_col))
+    joined = df.join(F.broadcast(marks), F.shiftright(slot, 6) == F.col("__word"), "left")
+    hit = F.getbit(F.coalesce("__bits", F.lit(0).cast("bigint")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return joined.withColumn(name, hit & F.col(id_col).isNotNull()).drop("__word", "__bits")
 
 
 def _bounded(percent: int):
@@ -253,35 +254,35 @@ def _within(held: list[tuple], percent: int) -> list[tuple[int, int]]:
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold.  Sets are made again from the texts, of the candidates only."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted, _ = id_filter(ids)
-    sets = docs.mapInPandas(_sets_of(size, wanted), "doc_id bigint, items array<bigint>").join(ids, "doc_id", "left_semi")
+    sets = _some_sets(docs, ids, size)
     with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
     with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b")
     common = F.size(F.array_intersect("items_a", "items_b"))
     return with_b.where((100 + percent) * common >= percent * (F.size("items_a") + F.size("items_b"))).select("a", "b").distinct()
 
 
-def _all_pairs(percent: int):
-    """The links of each (component, i, j): its sets of block i against those of block j, each pair compared exactly."""
+def _all_pairs(percent: int, told):
+    """What ``told`` makes of each (component, i, j): its sets of block i against those of block j, each pair compared exactly."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, held = None, []
         for batch in batches:
-            for comp, i, j, own, node, items in zip(*(batch[c] for c in ("comp", "i", "j", "own", "node", "items"))):
+            for comp, i, j, own, node, k, items in zip(*(batch[c] for c in ("comp", "i", "j", "own", "node", "k", "items"))):
                 if (comp, i, j) != current:
                     if held:
-                        yield _linked(held, current, percent)
+                        yield told(*_linked(held, current, percent))
                     current, held = (comp, i, j), []
-                held.append((node, own, np.asarray(items)))
+                held.append((node, own, np.asarray(items), k))
         if held:
-            yield _linked(held, current, percent)
+            yield told(*_linked(held, current, percent))
 
     return run
 
 
-def _linked(held: list[tuple], task: tuple, percent: int) -> pd.DataFrame:
+def _linked(held: list[tuple], task: tuple, percent: int) -> tuple:
+    """``(a, b, weight of a, weight of b, linked)``: the sets of both blocks and which of them link."""
     _, i, j = task
-    nodes, own, n = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held]), np.array([len(h[2]) for h in held])
+    nodes, own, n, k = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held]), np.array([len(h[2]) for h in held]), np.array([h[3] for h in held], np.int64)
     left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
     distinct, at = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
     row = np.repeat(np.arange(len(held)), n)
@@ -293,24 +294,42 @@ def _linked(held: list[tuple], task: tuple, percent: int) -> pd.DataFrame:
         has = np.zeros((len(held), min(WIDTH, len(distinct) - start)), np.float32)
         has[row[low:high], at[low:high] - start] = 1
         common += (has[left] @ has[right].T).astype(np.int64)
-    x, y = np.nonzero((100 + percent) * common >= percent * (n[left][:, None] + n[right]))
-    a, b = nodes[left[x]], nodes[right[y]]
-    use = a < b if i == j else a != b
-    return pd.DataFrame({"a": np.minimum(a, b)[use], "b": np.maximum(a, b)[use]})
+    linked = (100 + percent) * common >= percent * (n[left][:, None] + n[right])
+    linked &= nodes[left][:, None] != nodes[right]
+    return nodes[left], nodes[right], k[left], k[right], linked, i == j
+
+
+def _pairs_told(a, b, k_a, k_b, linked, same) -> pd.DataFrame:
+    x, y = np.nonzero(np.triu(linked) if same else linked)
+    return pd.DataFrame({"a": np.minimum(a[x], b[y]), "b": np.maximum(a[x], b[y])})
+
+
+def _counts_told(a, b, k_a, k_b, linked, same) -> pd.DataFrame:
+    """Documents that each set links to here: one row per set and comparison, not one per link."""
+    node, k = a, linked @ k_b
+    if not same:
+        node, k = np.concatenate((a, b)), np.concatenate((k, k_a @ linked))
+    return pd.DataFrame({"node": node, "k": k})[k > 0]
 
 
-def _inside(comps: DataFrame, points: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """All links inside the components of more than two nodes (of two, the link that made the component is all)."""
+def _inside(comps: DataFrame, points: DataFrame, docs: DataFrame, size: int, percent: int, width: DataFrame | None = None) -> DataFrame:
+    """The links inside the components of more than two nodes (of two, the link that made the component is all).
+
+    Pairs ``a, b``; with ``width`` (``node, k``) instead ``node, k``, parts of the number of documents that a set links to.
+    """
     members = comps.join(points.select("node", "n"), "node")
     blocks = F.ceil(F.col("k") / F.greatest(F.lit(8), F.least(F.lit(SIDE), F.floor(F.lit(SIDE_ITEMS) / F.col("n"))))).cast("int")
     large = members.groupBy("comp").agg(F.count("*").alias("k"), F.max("n").alias("n")).where("k > 2").select("comp", blocks.alias("blocks"))
     placed = members.select("node", "comp").join(large, "comp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.join(width, "node") if width is not None else placed.withColumn("k", F.lit(1).cast("bigint"))
     placed = written(placed, "placed")
-    wanted, _ = id_filter(placed.select(F.col("node").alias("doc_id")))
-    sets = docs.mapInPandas(_sets_of(size, wanted), "doc_id bigint, items array<bigint>").withColumnRenamed("doc_id", "node").join(placed, "node")
+    sets = _some_sets(docs, placed.select(F.col("node").alias("doc_id")), size).withColumnRenamed("doc_id", "node").join(placed, "node")
     other = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = other.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "items")
-    return tasks.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInPandas(_all_pairs(percent), "a bigint, b bigint")
+    tasks = other.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "k", "items")
+    tasks = tasks.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    if width is None:
+        return tasks.mapInPandas(_all_pairs(percent, _pairs_told), "a bigint, b bigint")
+    return tasks.mapInPandas(_all_pairs(percent, _counts_told), "node bigint, k bigint")
 
 
 def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -319,7 +338,10 @@ def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``links`` holds ``a, b`` with ``a < b``, each pair of sets over the threshold once, a set named by its smallest
     document; ``members`` holds ``node, doc_id``, each document that has shingles with the name of its set.
     """
-    described, classes, _, links, _ = _joined(df, id_col, text_col, size, percent, every=True)
+    found = _joined(df, id_col, text_col, size, percent)
+    described, classes = found["described"], found["classes"]
+    inner = _inside(found["first_comps"], found["points"], found["known"], size, percent)
+    links = written(found["first"].unionByName(found["more"]).unionByName(inner).distinct(), "links")
     members = described.where("doc_id is not null and n > 0").select("set_a", "set_b", "doc_id").join(classes, ["set_a", "set_b"])
     return links, members.select("node", "doc_id").distinct()
 
@@ -334,16 +356,21 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows share a component; rows that repeat an id count as one document for the links.  A row without id gets its
     size, no component and no number of links.  Only the two columns named are read, so other columns may have any name.
     """
-    described, classes, copies, links, comps = _joined(df, id_col, text_col, size, percent, every=n_links)
-    classes = classes.join(comps, "node", "left")
+    found = _joined(df, id_col, text_col, size, percent)
+    described, classes = found["described"], found["classes"].join(found["comps"], "node", "left")
     counts = []
     if n_links:
-        copied = copies.groupBy("set_a", "set_b").agg(F.count("*").alias("more"))
+        copied = found["copies"].groupBy("set_a", "set_b").agg(F.count("*").alias("more"))
         classes = classes.join(copied, ["set_a", "set_b"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
         # A link to a set is a link to each of its documents.
-        width = classes.where("comp is not null").select("node", (F.col("more") + 1).alias("k"))
-        ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        others = ways.join(width.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("k").alias("others"))
+        width = written(classes.where("comp is not null").select("node", (F.col("more") + 1).alias("k")), "widths")
+        inner = _inside(found["first_comps"], found["points"], found["known"], size, percent, width)
+        # Links that no comparison inside a component sees: those of components of two, and those between components.
+        two = found["first_comps"].groupBy("comp").agg(F.count("*").alias("k")).where("k = 2").select(F.col("comp").alias("a"))
+        outer = found["first"].join(two, "a", "left_semi").unionByName(found["more"])
+        ways = outer.unionByName(outer.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        outer = ways.join(width.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "k")
+        others = inner.unionByName(outer).groupBy("node").agg(F.sum("k").alias("others"))
         classes = classes.join(others, "node", "left").withColumn("links", F.col("more") + F.coalesce("others", F.lit(0)))
         counts = ["links"]
     classes = classes.select("set_a", "set_b", F.coalesce("comp", "node").alias("comp"), *counts)
@@ -353,16 +380,37 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int, every: bool) -> tuple[DataFrame, ...]:
-    """``(described, classes, copies, links, comps)``; the links are all of them with ``every``, else enough for the components."""
+def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """``df`` without near copies: of each component the row with the smallest id stays, all columns as they are.
+
+    A row without id is in no component and stays; of rows that repeat the kept id one stays.  Rows without shingles
+    (null and empty texts) stay, each under its id.  An empty table stays empty.
+    """
+    groups = jaccard_components(df, id_col, text_col, size, percent).where("doc_id is not null")
+    groups = written(groups.select("doc_id", "component_id"), "groups")
+    acted = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("__copy"), F.count("*").alias("__n"))
+    acted = written(acted.where("__copy or __n > 1").select(F.col("doc_id").alias("__id"), "__copy"), "acted")
+    # Texts of documents that surely stay are not shuffled.
+    flagged = flag_possible(df.withColumn("__key", column(id_col).cast("bigint")), marks_of(acted, "__id"), "__key")
+    stay, rest = flagged.where("not __maybe"), flagged.where("__maybe").join(acted, F.col("__key") == F.col("__id"), "left")
+    single, repeated = rest.where("__copy is null"), rest.where("not __copy").dropDuplicates(["__key"])
+    return stay.unionByName(single.drop("__id", "__copy")).unionByName(repeated.drop("__id", "__copy")).select([column(c) for c in df.columns])
+
+
+def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> dict[str, DataFrame]:
+    """The tables of the join: documents, sets, copies, the links that make the components, and the components.
+
+    ``first`` links lie inside ``first_comps``, which may hold more links; ``more`` are all links between those.
+    """
     spark = df.sparkSession
     tune(spark)
     docs = df.select(column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text"))
     known = docs.where("doc_id is not null")
     counts = docs.select("text").mapInPandas(_count_slots(size), "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    level = np.zeros(1 << SLOT_BITS, np.int8)
+    # The counts themselves: a slot holds more and more shingles as the table grows, so rounded counts would hide what is shared.
+    level = np.zeros(1 << SLOT_BITS, np.int64)
     if len(counts):
-        level[counts["slot"].to_numpy()] = np.log2(counts["n"].to_numpy() / counts["n"].mean()).clip(0, 100).astype(np.int8)
+        level[counts["slot"].to_numpy()] = counts["n"].to_numpy()
     ranks = spark.sparkContext.broadcast(level)
     found = per_text(_describe(size, percent, ranks), "n bigint, set_a bigint, set_b bigint, keys array<bigint>, near bigint, point binary", F.col("text"))
     described = written(docs.select("doc_id", found.alias("found")).select("doc_id", "found.*"), "sets")
@@ -373,9 +421,8 @@ def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int,
     copies = filled.select("set_a", "set_b", "doc_id").join(classes, ["set_a", "set_b"]).where("doc_id <> node").drop("node").distinct()
     copies = written(copies, "copies")
     # Only rows that may be copies are shuffled to be told apart; the others are nodes for sure.
-    _, maybe = id_filter(copies)
-    flagged = filled.withColumn("maybe", maybe(F.col("doc_id")))
-    nodes = flagged.where("not maybe").unionByName(flagged.where("maybe").join(copies, ["set_a", "set_b", "doc_id"], "left_anti")).drop("maybe")
+    flagged = flag_possible(filled, marks_of(copies))
+    nodes = flagged.where("not __maybe").unionByName(flagged.where("__maybe").join(copies, ["set_a", "set_b", "doc_id"], "left_anti")).drop("__maybe")
     # Of two similar documents the smaller one has a common key among its first n - ceil(2t / (1 + t) * n) + 1.
     keyed = nodes.select(F.col("doc_id").alias("node"), "near", F.posexplode("keys").alias("at", "key")).select("key", "node", (F.col("at") < F.col("near")).alias("near"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
@@ -414,7 +461,7 @@ def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int,
     trees = trees.select("key", (F.col("band").cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "home", "node", "comp", "n", "point")
     more = written(trees.mapInPandas(_tree_pairs(percent), "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     more = written(_verified(bounded(more), known, size, percent), "edges")
-    joined = components(links.unionByName(more))
-    if every:
-        links = written(links.unionByName(more).unionByName(_inside(comps, points, known, size, percent)).distinct(), "links")
-    return described, classes, copies, links, joined
+    return {
+        "described": described, "classes": classes, "copies": copies, "points": points, "known": known,
+        "first": links, "first_comps": comps, "more": more, "comps": components(links.unionByName(more)),
+    }
