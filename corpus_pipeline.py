@@ -16,40 +16,34 @@ from wardflow.llm.queries import VOCABULARY
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects; null and empty texts have too few words and go, repeated rows stay each for itself."""
     return rules.filter_by_rules(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, similarity 0.8) the document with the smallest id.
 
-    A row without id is in no group and stays; of rows that repeat the kept id one stays.
+    Rows without id and without words are in no group and stay; of rows that repeat the kept id one stays.
     """
-    groups = written(ngram_join.jaccard_components(docs, size=5, percent=80).where("doc_id is not null"), "groups")
-    acted = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("__copy"), F.count("*").alias("n")).where("__copy or n > 1").drop("n")
-    acted = written(acted, "acted")
-    # Texts of documents that surely stay are not shuffled.
-    _, maybe = ngram_join.id_filter(acted)
-    flagged = docs.withColumn("__maybe", maybe(F.col("doc_id")))
-    stay = flagged.where("not __maybe").drop("__maybe")
-    rest = flagged.where("__maybe").drop("__maybe").join(acted, "doc_id", "left")
-    single, repeated = rest.where("__copy is null"), rest.where("not __copy").dropDuplicates(["doc_id"])
-    return stay.unionByName(single.drop("__copy")).unionByName(repeated.drop("__copy")).select([column(c) for c in docs.columns])
+    return ngram_join.keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark; those with fewer marked words stay as they are."""
+    """Documents that are not contaminated by the benchmark; those with fewer marked words stay as they are.
+
+    Null and empty texts have no words and stay, repeated rows have one verdict, an empty benchmark marks nothing.
+    """
     marked = decontaminate.mark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out_col="__hits")
     return marked.where("not __hits.contaminated").drop("__hits")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data masked; ``n_chars`` follows the new text."""
+    """All documents, personal data masked; ``n_chars`` follows the new text (null texts stay null, empty ones empty)."""
     return pii.mask_personal_data(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of every document."""
+    """``doc_id, n_tokens, ids`` of every row, repeated ones included; null and empty texts have no ids."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN, block_chars=2_500_000)
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
