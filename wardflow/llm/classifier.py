@@ -1,7 +1,8 @@
 """A quality classifier without labels: heuristic labellers, expectation maximisation, a hashed linear scorer.
 
 Each labeller votes good, bad or abstains.  Only how often each combination of votes occurs matters for the
-estimate, so all documents are counted and expectation maximisation runs over the distinct combinations.  The
+estimate, so all documents are counted and expectation maximisation runs over the distinct combinations.  A text is
+read once: its votes and the slots of its words are written, and everything after works on those.  The
 posterior of a combination labels a bounded sample of documents, which trains a linear scorer on hashed words and
 word shapes; the scorer then judges every document by its text alone.
 """
@@ -19,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, per_text, share, tune
+from .common import column, per_text, tune, written
 from .rules import Facts
 
 DIMENSIONS = 1 << 15
-# Documents that train the scorer: a Bernoulli sample of about this many.
+# Documents that train the scorer: about this many, chosen by a hash of id and text.
 FIT_ROWS = 6_000
 
 
@@ -133,17 +134,32 @@ class Shapes(Slots):
         return out
 
 
-def hashed(facts: Facts, slots: Slots, shapes: Shapes) -> tuple[np.ndarray, np.ndarray]:
-    """Slots with their values: the square root of each count, to unit length, for words and shapes apart."""
+def hashed(facts: Facts, slots: Slots, shapes: Shapes) -> tuple[bytes, bytes]:
+    """Distinct slots of the words, then of their shapes, in order, with their counts: what the scorer reads of a text."""
     words = facts.words
-    if not words:
-        return np.empty(0, np.int64), np.empty(0)
-    out = []
-    for table in (slots, shapes):
-        at, n = np.unique(np.fromiter(map(table.__getitem__, words), np.int64, len(words)), return_counts=True)
-        value = np.sqrt(n)
-        out.append((at, value / np.linalg.norm(value)))
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+    out = [np.unique(np.fromiter(map(table.__getitem__, words), np.int64, len(words)), return_counts=True) for table in (slots, shapes)]
+    return tuple(np.concatenate([o[k] for o in out]).astype(kind).tobytes() for k, kind in ((0, "<u2"), (1, "<u4")))
+
+
+def unpacked(at: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Slots with their values: the square root of each count, to unit length, for words and shapes apart."""
+    slots, counts = np.frombuffer(at, "<u2").astype(np.int64), np.frombuffer(n, "<u4").astype(float)
+    words = int(np.searchsorted(slots, DIMENSIONS // 2))
+    value = np.sqrt(counts)
+    for part, total in ((slice(0, words), counts[:words].sum()), (slice(words, None), counts[words:].sum())):
+        value[part] /= math.sqrt(total) if total else 1.0
+    return slots, value
+
+
+def _read():
+    """Votes and slots of a text, in one reading."""
+    slots, shapes = Slots(), Shapes()
+
+    def one(text: str | None) -> tuple:
+        facts = Votes(text)
+        return votes_of(facts), *hashed(facts, slots, shapes)
+
+    return one
 
 
 def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 80, rate: float = 20.0, l2: float = 1e-5) -> tuple[np.ndarray, float]:
@@ -173,56 +189,38 @@ def classify_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``posterior`` is the label model's probability of good from the votes on the whole text, ``score`` that of the
     trained scorer; rows from 0.5 are kept.  Null and empty texts have no words: they score 0 and are not kept.
-    Vote combinations are counted over all rows, repeated ones included; an empty table gives an empty result.
+    Vote combinations are counted over all rows, repeated ones included; of equal rows one may train the scorer.  The
+    result depends on the rows only, not on their partitions.  An empty table gives an empty result.
     """
     spark = df.sparkSession
     tune(spark)
-    docs = df.select(column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text"))
-
-    def patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, int] = {}
-        for batch in batches:
-            for text in batch["text"]:
-                p = votes_of(Votes(text))
-                total[p] = total.get(p, 0) + 1
-        yield pd.DataFrame({"pattern": list(total.keys()), "n": list(total.values())}, dtype="int64")
-
-    seen = docs.select("text").mapInPandas(patterns, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toPandas()
-    shape = "posterior double, score double"
+    # Which rows train the scorer depends on the rows alone, not on how they are dealt over partitions.
+    docs = df.select(column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text")).withColumn("pick", F.xxhash64("doc_id", "text"))
+    shape = "pattern bigint, at binary, n binary"
+    read = written(docs.select("doc_id", "pick", per_text(_read, shape, F.col("text")).alias("r")).select("doc_id", "pick", "r.*"), "votes")
+
+    seen = read.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").toPandas()
     if not len(seen):
         return docs.select("doc_id", F.lit(0.0).alias("posterior"), F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
     known = seen["pattern"].to_numpy()
     posterior = dict(zip(known.tolist(), expectation_maximisation(unfold(known), seen["n"].to_numpy(float))[2].tolist()))
 
-    def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots, shapes = Slots(), Shapes()
-        for batch in batches:
-            facts = [Votes(text) for text in batch["text"]]
-            rows = [hashed(f, slots, shapes) for f in facts]
-            yield pd.DataFrame({
-                "at": pd.Series([r[0].astype("<u2").tobytes() for r in rows], dtype=object),
-                "value": pd.Series([r[1].astype("<f4").tobytes() for r in rows], dtype=object),
-                "y": [posterior[votes_of(f)] for f in facts],
-            })
-
-    sample = docs.select("text").sample(share(docs, fit_rows), 5).mapInPandas(examples, "at binary, value binary, y double").collect()
-    rows = [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["value"], "<f4").astype(float)) for r in sample]
-    weights, bias = fit_linear(rows, np.array([r["y"] for r in sample])) if rows else (np.zeros(DIMENSIONS, np.float32), 0.0)
+    every = max(1, int(seen["n"].sum()) // fit_rows)
+    sample = read.where(F.pmod("pick", F.lit(every)) == 0).dropDuplicates(["pick"]).select("pick", "pattern", "at", "n").collect()
+    sample.sort(key=lambda r: r["pick"])
+    rows = [unpacked(r["at"], r["n"]) for r in sample]
+    weights, bias = fit_linear(rows, np.array([posterior[r["pattern"]] for r in sample])) if rows else (np.zeros(DIMENSIONS, np.float32), 0.0)
     model = spark.sparkContext.broadcast((weights, bias, posterior))
 
-    def start():
-        slots, shapes = Slots(), Shapes()
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         w, b, known = model.value
-
-        def one(text: str | None) -> tuple:
-            facts = Votes(text)
-            if not facts.words:
-                return known.get(votes_of(facts), 0.0), 0.0
-            at, value = hashed(facts, slots, shapes)
-            z = float((w[at] * value).sum() + b)
-            return known[votes_of(facts)], 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
-
-        return one
-
-    scored = docs.select("doc_id", per_text(start, shape, F.col("text")).alias("r"))
+        for patterns, at, n in batches:
+            out = []
+            for x, k in zip(at, n):
+                slots, value = unpacked(x, k)
+                z = float((w[slots] * value).sum() + b)
+                out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) if len(slots) else 0.0)
+            yield pd.DataFrame({"posterior": [known[p] for p in patterns], "score": out})
+
+    scored = read.select("doc_id", F.pandas_udf(run, "posterior double, score double").asNondeterministic()("pattern", "at", "n").alias("r"))
     return scored.select("doc_id", "r.posterior", "r.score", (F.col("r.score") >= 0.5).alias("kept"))
