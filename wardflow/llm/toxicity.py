@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, per_text, tune
+from .common import column, per_text, tune, written
 
 # Labelled rows used to fit: a Bernoulli sample of about this many.
 FIT_ROWS = 12_000
@@ -35,7 +35,7 @@ _STEMS = range(4, 9)
 def terms_of(text: str | None) -> set[str]:
     """Distinct words, marked ``=``, and their beginnings of 4 to 8 letters, marked ``+``."""
     words = set(_WORD.findall(text.lower())) if text else set()
-    return {"=" + w for w in words if 3 <= len(w) <= 40} | {"+" + w[:n] for w in words for n in _STEMS if n <= len(w) <= 60}
+    return {"=" + w for w in words if len(w) >= 3} | {"+" + w[:n] for w in words for n in _STEMS if n <= len(w)}
 
 
 def select_terms(counts: pd.DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, bool]]:
@@ -64,6 +64,7 @@ class Lexicon:
 
     def __init__(self, terms: list[tuple[str, bool]]) -> None:
         self.root: dict = {}
+        self.longest = max((len(letters) for letters, _ in terms), default=0)
         self.heads: dict[int, set[str]] = {}
         self.parts: dict[tuple[int, int], set[str]] = {}
         for letters, stem in terms:
@@ -119,8 +120,11 @@ class Matcher(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
             self.clear()
-        found = self.lexicon.distance(word) if len(word) <= 60 else None
-        self[word] = out = -1 if found is None else found
+        # The automaton never reads further than one letter behind the longest term.
+        found = self.lexicon.distance(word[: self.lexicon.longest + 2])
+        out = -1 if found is None else found
+        if len(word) <= 60:  # longer words are looked up each time, so the memory for words stays bounded
+            self[word] = out
         return out
 
 
@@ -190,8 +194,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
         yield pd.DataFrame({"term": pd.Series(names, dtype=object), "toxic": [seen[1][t] for t in names], "clean": [seen[0][t] for t in names]})
 
     counted = rows.mapInPandas(count, "term string, toxic bigint, clean bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # Terms of fewer than 4 toxic texts can't be chosen; the sum of all counts is bounded by the sample.
-    counts = counted.where("toxic >= 4 or term = ''").where("clean <= toxic or term = ''").toPandas()
+    # Terms of fewer than 4 toxic texts can't be chosen, nor those more frequent than the rates allow: the same test as
+    # in select_terms, so that only terms that may be chosen come to the driver.  Their number is bounded by the sample.
+    counted = written(counted, "terms")
+    whole = counted.where("term = ''").first()
+    rate = F.col("clean") / max(1, whole.clean if whole else 0) <= 0.02 * F.col("toxic") / max(1, whole.toxic if whole else 0)
+    counts = counted.where((F.col("term") == "") | (F.col("toxic") >= 4) & rate).toPandas()
     whole = counts[counts["term"] == ""]
     if not len(whole) or not whole["toxic"].iloc[0] or not whole["clean"].iloc[0]:
         return [], None
