@@ -1,10 +1,10 @@
 """Sharding by a hierarchical weighted hash tree.
 
-Each document descends from the root through regions and racks to a shard.  At every node each child draws
-``-ln(u) / weight`` with a hash ``u`` of the document's id and the child's name; the smallest draw wins, so a child
-gets its share of the weight.  A change of one weight moves documents only into or out of the subtree whose
-weight changed.  ``grown_tree`` adds a shard as a region of its own: no other weight changes, so documents move
-only into the new shard.
+Each document descends from the root through regions and racks to a shard.  At every node each child draws a waiting
+time and the shortest wins.  A shard draws ``-ln(u) / weight`` with a hash ``u`` of the document's id and the shard's
+number; a rack or region draws the shortest time of what is below it, which is a draw with the summed weight, so every
+child gets its share of the weight.  Times depend on nothing but the id and the shard: a change of one weight moves
+documents only into or out of that subtree, and a new shard, wherever it is put, takes documents only into itself.
 """
 
 from __future__ import annotations
@@ -21,10 +21,12 @@ PART_ROWS = 100_000
 Tree = dict[str, dict[str, dict[int, float]]]
 
 
-def even_tree(shards: int = 24, regions: int = 3, racks: int = 2) -> Tree:
-    """``shards`` shards of weight 1, dealt in order over regions and racks."""
+def even_tree(shards: int = 24, per_rack: int = 4, racks: int = 2) -> Tree:
+    """``shards`` shards of weight 1, dealt in order: a rack is filled first, then the next rack, then the next region.
+
+    The tree of n shards is that of n - 1 with one more, for any n.
+    """
     tree: Tree = {}
-    per_rack = -(-shards // (regions * racks))
     for shard in range(shards):
         region, rack = divmod(shard // per_rack, racks)
         tree.setdefault(f"region{region}", {}).setdefault(f"rack{rack}", {})[shard] = 1.0
@@ -37,32 +39,24 @@ def grown_tree(tree: Tree, weight: float = 1.0) -> Tree:
     return {**tree, f"region-of-{shard}": {"rack0": {shard: weight}}}
 
 
-def _draw(key: Column, node: str, weight: float) -> Column:
+def _draw(key: Column, shard: int, weight: float) -> Column:
     # 53 hash bits in (0, 1]; null keys hash like the name alone.
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(node)), 11) + F.lit(1)) * F.lit(2.0**-53)
-    return -F.log(u) / F.lit(float(weight))
+    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(f"shard{shard}")), 11) + F.lit(1)) * F.lit(2.0**-53)
+    return F.struct((-F.log(u) / F.lit(float(weight))).alias("d"), F.lit(shard).alias("shard"))
 
 
-def _least(key: Column, children: list[tuple[str, float, object]]) -> Column:
-    """The value of the child with the smallest draw; equal draws go to the smaller value."""
-    if len(children) == 1:
-        return F.lit(children[0][2])
-    return F.least(*[F.struct(_draw(key, name, weight).alias("d"), F.lit(value).alias("v")) for name, weight, value in children])["v"]
+def _shortest(draws: list[Column]) -> Column:
+    """The child that wins; equal times go to the smaller shard."""
+    return draws[0] if len(draws) == 1 else F.least(*draws)
 
 
 def place(key: Column, tree: Tree) -> Column:
-    """The shard of a key: three weighted draws, one per level of the tree."""
-    total = lambda racks: sum(sum(shards.values()) for shards in racks.values())
-    region = _least(key, [(name, total(racks), name) for name, racks in tree.items()])
-    out = None
-    for name, racks in tree.items():
-        rack = _least(key, [(f"{name}/{r}", sum(shards.values()), r) for r, shards in racks.items()])
-        shard = None
-        for r, shards in racks.items():
-            own = _least(key, [(f"{name}/{r}/{s}", w, s) for s, w in shards.items()])
-            shard = F.when(rack == r, own) if shard is None else shard.when(rack == r, own)
-        out = F.when(region == name, shard) if out is None else out.when(region == name, shard)
-    return out.cast("int")
+    """The shard of a key: of the regions the one with the shortest time, of its racks, of their shards."""
+    regions = [
+        _shortest([_shortest([_draw(key, s, w) for s, w in shards.items()]) for shards in racks.values()])
+        for racks in tree.values()
+    ]
+    return _shortest(regions)["shard"].cast("int")
 
 
 def assign_shards(df: DataFrame, tree: Tree | None = None, grown: Tree | None = None, id_col: str = "doc_id", text_col: str = "text", part_rows: int = PART_ROWS) -> DataFrame:
