@@ -1,8 +1,9 @@
 """Personal data: plain and disguised identifiers, found with offsets into the source text.
 
-Transducers rewrite a disguised text (look-alike letters, full-width forms, invisible characters, spelled digits,
-"at" and "dot" in brackets or words) into plain characters and keep, for every character written, the source
-span it came from.  The same detectors run on the plain and on the rewritten text; spans of the second are mapped
+Transducers rewrite a disguised text one after the other (look-alike letters, full-width forms and invisible
+characters; then spelled digits; then "at", "dot" and "plus" in brackets or words, in four languages) into plain
+characters.  Each keeps, for every character written, where it came from, and the maps are composed, so that disguises
+within disguises lead back to the source.  The same detectors run on the plain and on the rewritten text; spans of the second are mapped
 back to the source and added where they touch no span of their kind.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,66 +78,101 @@ HOMOGLYPHS = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ı": "i",
     "․": ".", "。": ".", "‐": "-", "‑": "-", "–": "-", "﹫": "@",
 }
-# Digit words (fixed values).
-DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# Digit words, and the words for a plus, an at sign and a dot, in English, German, French and Spanish (fixed values).
+DIGIT_WORDS = {
+    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+}
+PLUS_WORDS = ("plus", "más")
+AT_WORDS = ("at", "ät", "arobase", "arroba")
+DOT_WORDS = ("dot", "punkt", "point", "punto")
 
 _INVISIBLE = "­​-‏⁠﻿"
-_WORD = "|".join(DIGIT_WORDS)
+_LETTER = r"[^\W\d_]"
+_WORD, _PLUS, _AT, _DOT = ("|".join(sorted(words, key=len, reverse=True)) for words in (DIGIT_WORDS, PLUS_WORDS, AT_WORDS, DOT_WORDS))
+_GLYPH_STEP = re.compile(rf"[{''.join(map(re.escape, HOMOGLYPHS))}！-～{_INVISIBLE}]")
 # One digit word may stand in any prose; three in a row spell a number.
-_SPELLED = rf"(?<![A-Za-z])(?:{_WORD})(?:[ ,-]{{1,2}}(?:{_WORD})){{2,}}(?![A-Za-z])"
-_AT = r"[ ]?[\[({<][ ]?(?:at|@)[ ]?[\])}>][ ]?|(?<=[A-Za-z0-9_%+-])[ ]at[ ](?=[A-Za-z0-9-]+(?:[ ]?[\[({]?dot[\])}]?[ ]?|[ ]dot[ ])[A-Za-z0-9-])"
-_DOT = r"[ ]?[\[({<][ ]?(?:dot|\.)[ ]?[\])}>][ ]?|(?<=[A-Za-z0-9])[ ]dot[ ](?=[A-Za-z0-9])"
-_PLUS = r"(?<![A-Za-z])plus[ ](?=\(?[0-9]|" + _WORD + ")"
-_STEP = re.compile(
-    rf"(?P<glyph>[{''.join(map(re.escape, HOMOGLYPHS))}！-～])|(?P<none>[{_INVISIBLE}])|(?P<spelled>{_SPELLED})|(?P<at>{_AT})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})", re.IGNORECASE
+_SPELLED_STEP = re.compile(rf"(?<!{_LETTER})(?:{_WORD})(?:[ ,-]{{1,2}}(?:{_WORD})){{2,}}(?!{_LETTER})", re.IGNORECASE)
+_SIGN_STEP = re.compile(
+    rf"(?P<plus>(?<!{_LETTER})(?:{_PLUS})[ ](?=\(?[0-9]))"
+    rf"|(?P<at>[ ]?[\[({{<][ ]?(?:{_AT}|@)[ ]?[\])}}>][ ]?|(?<=[A-Za-z0-9_%+-])[ ](?:{_AT})[ ](?=[A-Za-z0-9-]+(?:[ ]?[\[({{]?(?:{_DOT})[\])}}]?[ ]?|[ ](?:{_DOT})[ ])[A-Za-z0-9-])"
+    rf"|(?<=[A-Za-z0-9_%+-])[ ](?:arobase|arroba)[ ](?=[A-Za-z0-9-]))"
+    rf"|(?P<dot>[ ]?[\[({{<][ ]?(?:{_DOT}|\.)[ ]?[\])}}>][ ]?|(?<=[A-Za-z0-9])[ ](?:{_DOT})[ ](?=[A-Za-z0-9]))",
+    re.IGNORECASE,
 )
-_GLYPH = re.compile(rf"[{''.join(map(re.escape, HOMOGLYPHS))}！-～{_INVISIBLE}]")
-_BRACKET = re.compile(r"[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]", re.IGNORECASE)
-_RUN, _AT_STEP, _PLUS_STEP = (re.compile(step, re.IGNORECASE) for step in (_SPELLED, _AT, _PLUS))
 _DIGIT = re.compile(_WORD, re.IGNORECASE)
+_SIGNS = {"plus": "+", "at": "@", "dot": "."}
+Piece = tuple[str, int, int]
+
+
+def _glyph(m: re.Match) -> Iterator[Piece]:
+    """A look-alike or full-width character as the plain one, an invisible one as nothing."""
+    c = m[0]
+    if plain := HOMOGLYPHS.get(c) or (chr(ord(c) - 0xFEE0) if "！" <= c <= "～" else ""):
+        yield plain, *m.span()
+
+
+def _spelled(m: re.Match) -> Iterator[Piece]:
+    """Digit words as digits, each from its own word."""
+    for d in _DIGIT.finditer(m.string, *m.span()):
+        yield DIGIT_WORDS[d[0].lower().replace("ſ", "s")], *d.span()
+
+
+def _sign(m: re.Match) -> Iterator[Piece]:
+    yield _SIGNS[m.lastgroup], *m.span()
+
+
+# Transducers, each working on what the one before has written: characters, then digit words, then signs.
+STEPS = ((_GLYPH_STEP, _glyph), (_SPELLED_STEP, _spelled), (_SIGN_STEP, _sign))
+
+
+class Mapped:
+    """A text, and for each of its characters the start and end of its source."""
+
+    def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray) -> None:
+        self.text, self.starts, self.ends = text, starts, ends
+
+    def rewritten(self, step: re.Pattern, pieces) -> Mapped:
+        """The output of a transducer on this text, its offsets composed with those that led here."""
+        parts, starts, ends, done = [], [], [], 0
+        for m in step.finditer(self.text):
+            parts.append(self.text[done : m.start()])
+            starts.append(self.starts[done : m.start()])
+            ends.append(self.ends[done : m.start()])
+            for new, start, end in pieces(m):
+                parts.append(new)
+                starts.append(np.full(len(new), self.starts[start]))
+                ends.append(np.full(len(new), self.ends[end - 1]))
+            done = m.end()
+        if not done:
+            return self
+        parts.append(self.text[done:])
+        return Mapped("".join(parts), np.concatenate([*starts, self.starts[done:]]), np.concatenate([*ends, self.ends[done:]]))
 
 
 def disguised(text: str) -> bool:
-    """Whether any step of the transducer could change the text; plain searches first, as most texts have none."""
+    """Whether a transducer would change the text: if the first does not, each of the others sees it as it is."""
     low = text.lower().replace("ſ", "s")
     return (
-        not text.isascii() and _GLYPH.search(text) is not None
-        or " dot " in low
-        or "dot" in low and " at " in low and _AT_STEP.search(text) is not None
-        or "plus " in low and _PLUS_STEP.search(text) is not None
-        or any(c in text for c in "[({<") and _BRACKET.search(text) is not None
-        or sum(map(low.count, DIGIT_WORDS)) >= 3 and _RUN.search(text) is not None
+        not text.isascii() and _GLYPH_STEP.search(text) is not None
+        or _SPELLED_STEP.search(text) is not None
+        or any(word in low for word in _HINTS) and _SIGN_STEP.search(text) is not None
+        or any(c in text for c in "[({<") and _SIGN_STEP.search(text) is not None
     )
 
 
-def transduce(text: str) -> tuple[str, np.ndarray, np.ndarray]:
-    """The rewritten text, and per character of it the start and end of its source."""
-    parts, starts, ends, done = [], [], [], 0
-
-    def copy(to: int) -> None:
-        parts.append(text[done:to])
-        starts.append(np.arange(done, to))
-        ends.append(np.arange(done + 1, to + 1))
-
-    def write(new: str, start: int, end: int) -> None:
-        parts.append(new)
-        starts.append(np.full(len(new), start))
-        ends.append(np.full(len(new), end))
-
-    for m in _STEP.finditer(text):
-        copy(m.start())
-        done = m.end()
-        kind = m.lastgroup
-        if kind == "glyph":
-            c = m[0]
-            write(HOMOGLYPHS.get(c) or (chr(ord(c) - 0xFEE0) if ord(c) >= 0xFF01 else c), *m.span())
-        elif kind == "spelled":
-            for d in _DIGIT.finditer(text, *m.span()):
-                write(DIGIT_WORDS[d[0].lower()], *d.span())
-        elif kind != "none":
-            write({"at": "@", "dot": ".", "plus": "+"}[kind], *m.span())
-    copy(len(text))
-    return "".join(parts), np.concatenate(starts), np.concatenate(ends)
+# Every sign that stands in words has one of these around it.
+_HINTS = tuple(f" {word} " for word in (*AT_WORDS, *DOT_WORDS)) + tuple(f"{word} " for word in PLUS_WORDS)
+
+
+def transduce(text: str) -> Mapped:
+    """The rewritten text with the source span of every character."""
+    out = Mapped(text, np.arange(len(text)), np.arange(1, len(text) + 1))
+    for step, pieces in STEPS:
+        out = out.rewritten(step, pieces)
+    return out
 
 
 def find(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
@@ -144,12 +181,15 @@ def find(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]
     base = detect(text)
     if not disguised(text):
         return base, base
-    plain, starts, ends = transduce(text)
+    plain = transduce(text)
     every = {}
-    for kind, spans in detect(plain).items():
-        mapped = [(int(starts[s]), int(ends[e - 1])) for s, e in spans]
+    for kind, spans in detect(plain.text).items():
+        mapped = dict.fromkeys((int(plain.starts[s]), int(plain.ends[e - 1])) for s, e in spans)
         taken = base[kind]
-        every[kind] = sorted(taken + [m for m in dict.fromkeys(mapped) if not any(m[0] < e and s < m[1] for s, e in taken)])
+        # Base spans are in order and apart, so the first that ends behind a span's start tells whether they meet.
+        stops = [e for _, e in taken]
+        free = [m for m in mapped if (i := bisect_right(stops, m[0])) == len(taken) or taken[i][0] >= m[1]]
+        every[kind] = sorted(taken + free)
     return base, every
 
 
