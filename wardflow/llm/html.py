@@ -14,24 +14,26 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import column, per_text, share, tune
+from .common import column, per_text, tune
 
 FIT_PAGES = 300
 VARIANTS = 3
 
 # Kinds of elements, by the HTML standard (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg iframe canvas".split())
+RAW = frozenset("script style template textarea title iframe".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section select"
-    " summary table tbody td tfoot th thead tr ul".split()
+    " noscript summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSES_P = BLOCK - frozenset("td th tr tbody thead tfoot option".split())
 # The page itself; text directly below it stands in blocks without a name.
@@ -44,10 +46,13 @@ BOILER_WORDS = frozenset(
     " tags teaser toolbar topbar widget".split()
 )
 MAIN_WORDS = frozenset("article articlebody blog body content entry main maincontent page post story text".split())
-GROUPS = (("nav", "menu"), ("header",), ("footer",), ("aside",), ("form", "button", "select", "input", "label", "fieldset"), ("article",), ("main",), ("section",), ("p", "blockquote", "pre"), tuple(HEADINGS), ("ul", "ol", "dl"), ("li", "dt", "dd"), ("table", "tr", "td", "th", "tbody"))
+GROUPS = (("nav", "menu"), ("header",), ("footer",), ("aside",), ("form", "select", "fieldset"), ("article",), ("main",), ("section",), ("p", "blockquote", "pre"), tuple(HEADINGS), ("ul", "ol", "dl"), ("li", "dt", "dd"), ("table", "tr", "td", "th", "tbody"))
 GROUP_OF = {tag: i + 1 for i, tags in enumerate(GROUPS) for tag in tags}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL)
+# The same without regard to quotes, for the rest of a page whose quotes do not match.
+_UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.DOTALL)
+_OPENING = re.compile(r"<(?=/?[A-Za-z]|[!?])")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
@@ -65,12 +70,43 @@ class Node:
         self.keep = True
 
 
+def _next_token(html: str, at: int, token: re.Pattern, last: int) -> tuple[re.Match | None, re.Pattern]:
+    """The next tag or comment, and the pattern for what follows; ``last`` is the place of the page's last ``>``.
+
+    Every character is looked at a bounded number of times: behind the last ``>`` no tag can end, and once a tag is
+    not closed although a ``>`` follows, the quotes of the page do not match and are not regarded any more.
+    """
+    while (begin := _OPENING.search(html, at)) is not None:
+        i = begin.start()
+        if i > last and html[i + 1] not in "!?":
+            return None, token
+        if (m := token.match(html, i)) is not None:
+            return m, token
+        token = _UNQUOTED
+        if (m := token.match(html, i)) is not None:
+            return m, token
+        at = i + 1
+    return None, token
+
+
 def parse(html: str) -> Node:
-    """The tree of block elements.  Unclosed and stray tags are repaired as browsers do for the common cases."""
+    """The tree of block elements, however deep.  Unclosed and stray tags are repaired as browsers do for the common cases."""
     root = Node("#root", frozenset(), None)
-    open_nodes, in_link, pos = [root], 0, 0
-    at = 0
-    while (m := _TOKEN.search(html, at)) is not None:
+    open_nodes, in_link, pos, at = [root], 0, 0, 0
+    # How often each tag is open, and the tags that end nowhere ahead.
+    opened: Counter[str] = Counter()
+    endless: set[str] = set()
+    token, last = _TOKEN, html.rfind(">")
+
+    def close() -> str:
+        tag = open_nodes.pop().tag
+        opened[tag] -= 1
+        return tag
+
+    while True:
+        m, token = _next_token(html, at, token, last)
+        if m is None:
+            break
         if m.start() > pos:
             _text(open_nodes[-1], html[pos : m.start()], in_link)
         at = pos = m.end()
@@ -80,14 +116,17 @@ def parse(html: str) -> Node:
         if m[1]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
-            if tag in BLOCK and any(n.tag == tag for n in open_nodes):
-                while open_nodes.pop().tag != tag:
+            if tag in BLOCK and opened[tag]:
+                while close() != tag:
                     pass
             continue
         if tag in RAW:
             # Nothing in it is text of the page; it ends at its own end tag only.
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at) if not m[3].endswith("/") else None
-            at = pos = end.end() if end else (len(html) if tag in ("script", "style") and not m[3].endswith("/") else at)
+            closed = m[3].endswith("/")
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at) if not closed and tag not in endless else None
+            if end is None and not closed:
+                endless.add(tag)
+            at = pos = end.end() if end else (len(html) if tag in ("script", "style") and not closed else at)
             continue
         if tag == "br":
             _holder(open_nodes[-1], "").children.append(" ")
@@ -98,14 +137,14 @@ def parse(html: str) -> Node:
                 open_nodes[-1].children.append(Node("hr", frozenset(), open_nodes[-1]))
             continue
         if tag in CLOSES_P and open_nodes[-1].tag == "p":
-            open_nodes.pop()
+            close()
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and open_nodes[-1].tag in ((tag,) if tag in ("li", "tr", "option") else ("dt", "dd") if tag in ("dt", "dd") else ("td", "th")):
-            open_nodes.pop()
+            close()
         names = frozenset(w.lower() for a in _ATTRIBUTE.finditer(m[3]) for w in _SPLIT.split(a[2] or a[3] or a[4] or "") if w)
         node = Node(tag, names, open_nodes[-1])
-        if len(open_nodes) < 400:  # deeper elements leave their text to the one above: no recursion is ever deeper
-            open_nodes[-1].children.append(node)
-            open_nodes.append(node)
+        open_nodes[-1].children.append(node)
+        open_nodes.append(node)
+        opened[tag] += 1
     if pos < len(html):
         _text(open_nodes[-1], html[pos:], in_link)
     _sum_up(root)
@@ -139,13 +178,17 @@ def _text(node: Node, raw: str, in_link: int) -> None:
             node.links += n
 
 
-def _sum_up(node: Node) -> None:
-    node.size = 1
-    for child in node.children:
-        if isinstance(child, Node):
-            _sum_up(child)
-            for name in ("chars", "links", "words", "stops", "size"):
-                setattr(node, name, getattr(node, name) + getattr(child, name))
+def _sum_up(root: Node) -> None:
+    """Adds what lies below to every element, children before their parents."""
+    for node in reversed(nodes_of(root)):
+        node.size += 1
+        if node.parent is not None:
+            up = node.parent
+            up.chars += node.chars
+            up.links += node.links
+            up.words += node.words
+            up.stops += node.stops
+            up.size += node.size
 
 
 def nodes_of(root: Node) -> list[Node]:
@@ -167,19 +210,25 @@ def describe(nodes: list[Node]) -> np.ndarray:
     rows = []
     boiler: dict[Node, int] = {}
     main: dict[Node, int] = {}
+    # Place among the siblings, their number, the longest of them, and those of the same tag: told by the parent.
+    among: dict[Node, tuple[int, int, int, int]] = {}
     for node in nodes:
         up = node.parent
         own_boiler = 1 if not BOILER_WORDS.isdisjoint(node.names) or node.tag in ("nav", "footer", "aside", "form", "header", "menu", "button", "select", "dialog") else 0
         own_main = 1 if not MAIN_WORDS.isdisjoint(node.names) or node.tag in ("article", "main") else 0
         boiler[node] = max(own_boiler, boiler.get(up, 0))
         main[node] = max(own_main, main.get(up, 0))
-        siblings = [c for c in up.children if isinstance(c, Node)] if up else [node]
-        place = siblings.index(node) if len(siblings) <= 50 else 25
-        longest = max(s.chars for s in siblings) if len(siblings) <= 50 else node.chars
-        alike = sum(s.tag == node.tag for s in siblings[:50])
+        if node in among:
+            place, siblings, longest, alike = among[node]
+        else:
+            place, siblings, longest, alike = 0, 1, node.chars, 1
+        below = [c for c in node.children if isinstance(c, Node)]
+        tags, most = Counter(c.tag for c in below), max((c.chars for c in below), default=0)
+        for i, child in enumerate(below):
+            among[child] = i, len(below), most, tags[child.tag]
         rows.append((
             GROUP_OF.get(node.tag, 0), node.depth, np.log1p(node.chars), node.chars / whole, node.links / max(1, node.chars), np.log1p(node.words), node.stops / max(1, node.words),
-            node.chars / node.size, np.log1p(node.size), own_boiler, own_main, boiler[node], main[node], place / max(1, len(siblings)), len(siblings), alike / len(siblings[:50]),
+            node.chars / node.size, np.log1p(node.size), own_boiler, own_main, boiler[node], main[node], place / siblings, siblings, alike / siblings,
             node.chars / max(1, longest), up.links / max(1, up.chars) if up else 0.0, GROUP_OF.get(up.tag, 0) if up else 0, node.chars / max(1, node.words),
         ))
     return np.array(rows, np.float32)
@@ -363,18 +412,22 @@ def teach(html: str) -> tuple[np.ndarray, np.ndarray] | None:
 
 
 def fit(pages: DataFrame, html_col: str = "html", fit_pages: int = FIT_PAGES) -> Boosted | None:
-    """Trees trained on about ``fit_pages`` pages, each in ``VARIANTS`` forms; None if no sampled page names its article."""
-    sample = pages.select(column(html_col).alias("html")).where("html is not null").sample(share(pages, fit_pages), 3)
+    """Trees trained on about ``fit_pages`` pages that name their article, each in ``VARIANTS`` forms; None if there are none."""
+    # Only pages that name their article can teach; which of them do depends on the pages alone.
+    named = pages.select(column(html_col).alias("html")).where(F.col("html").rlike(r"(?i)<(article|main)\b")).withColumn("pick", F.xxhash64("html"))
+    every = max(1, named.count() // fit_pages)
+    sample = named.where(F.pmod("pick", F.lit(every)) == 0).dropDuplicates(["pick"])
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [t for html in batch["html"] for t in re.findall(r"<p>([^<]{40,400})", html)[:3]] or ["Read more about this."]
-            for k, html in enumerate(batch["html"]):
+            for pick, html in zip(batch["pick"], batch["html"]):
+                texts = re.findall(r"<p>([^<]{40,400})", html)[:60] or ["Read more about this."]
                 for v in range(VARIANTS):
-                    if (got := teach(disguise(html, texts, VARIANTS * (k + 1) + v))) is not None:
-                        yield pd.DataFrame({"x": [got[0].tobytes()], "y": [got[1].tobytes()]})
+                    if (got := teach(disguise(html, texts, VARIANTS * (pick % 1_000_003 + 1) + v))) is not None:
+                        yield pd.DataFrame({"pick": [pick], "v": [v], "x": [got[0].tobytes()], "y": [got[1].tobytes()]})
 
-    rows = sample.mapInPandas(examples, "x binary, y binary").collect()
+    rows = sample.mapInPandas(examples, "pick bigint, v int, x binary, y binary").collect()
+    rows.sort(key=lambda r: (r["pick"], r["v"]))
     if not rows:
         return None
     x = np.concatenate([np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES) for r in rows])
@@ -394,7 +447,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """Per page: ``page_id, url, text, n_chars``.
 
     Null, empty and text-free pages give the empty string.  Repeated rows each keep their row; only the three columns
-    named are read.  If no page of the sample names its article there is nothing to learn from, and every element
+    named are read.  If no page names its article there is nothing to learn from, and every element
     counts as article except those whose own name or class says otherwise.
     """
     tune(pages.sparkSession)
