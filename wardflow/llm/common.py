@@ -12,14 +12,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows per Arrow batch: texts may be long, so batches are kept short.
+# Rows and bytes per Arrow batch: texts may be long, so batches are kept short.
 ARROW_ROWS = 1000
+ARROW_BYTES = 64 << 20
 
 
 def tune(spark: SparkSession) -> None:
     """Small Arrow batches for text columns, and skewed joins split at run time."""
     for name, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS)),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES)),
         ("spark.sql.adaptive.enabled", "true"),
         ("spark.sql.adaptive.skewJoin.enabled", "true"),
         ("spark.sql.adaptive.forceOptimizeSkewedJoin", "true"),
