@@ -111,6 +111,21 @@ def _finish():
     return one
 
 
+def _scan_whole(block):
+    """As ``_scan`` with the report of the text, where one block holds all windows."""
+
+    def start():
+        scan, finish = _scan(block)(), _finish()
+
+        def one(text: str | None) -> tuple:
+            n, runs, found = scan(text)
+            return n, *finish({"n_words": n, "runs": [runs], "items": [found]})
+
+        return one
+
+    return start
+
+
 _MARKS = "n_words bigint, runs array<bigint>, items array<bigint>"
 _REPORT = "n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, hit_spans array<bigint>"
 
@@ -140,23 +155,20 @@ def mark_hits(df: DataFrame, benchmark: DataFrame, text_col: str = "text", out_c
     sets = window_blocks(benchmark, **options)
     text = column(text_col)
     if len(sets) == 1:
-        marks = per_text(_scan(sets[0]), _MARKS, text)
-        all_marks = F.struct(F.col("__m.n_words").alias("n_words"), F.array("__m.runs").alias("runs"), F.array("__m.items").alias("items"))
-        marked = df.withColumn("__m", marks).withColumn("__m", all_marks)
-    else:
-        # One scan per block; the marks of a text meet by its digest, and only texts with marks are shuffled.
-        name = F.sha2(F.coalesce(text, F.lit("")), 256)
-        parts = None
-        for block in sets:
-            part = df.select(name.alias("__name"), per_text(_scan(block), _MARKS, text).alias("m")).where("size(m.runs) > 0").dropDuplicates(["__name"])
-            part = written(part, "marks")
-            parts = part if parts is None else parts.unionByName(part)
-        found = parts.groupBy("__name").agg(F.collect_list("m.runs").alias("__runs"), F.collect_list("m.items").alias("__items"))
-        none = F.array().cast("array<array<bigint>>")
-        words = per_text(lambda: lambda t: (len(fold_words(t)),), "n_words bigint", text)["n_words"]
-        marked = df.withColumn("__name", name).withColumn("__n", words).join(found, "__name", "left")
-        marked = marked.withColumn("__m", F.struct(F.col("__n").alias("n_words"), F.coalesce("__runs", none).alias("runs"), F.coalesce("__items", none).alias("items")))
-        marked = marked.drop("__name", "__n", "__runs", "__items")
+        return df.withColumn(out_col, per_text(_scan_whole(sets[0]), f"n_words bigint, {_REPORT}", text))
+    # One scan per block; the marks of a text meet by its digest, and only texts with marks are shuffled.
+    name = F.sha2(F.coalesce(text, F.lit("")), 256)
+    parts = None
+    for block in sets:
+        part = df.select(name.alias("__name"), per_text(_scan(block), _MARKS, text).alias("m")).where("size(m.runs) > 0").dropDuplicates(["__name"])
+        part = written(part, "marks")
+        parts = part if parts is None else parts.unionByName(part)
+    found = parts.groupBy("__name").agg(F.collect_list("m.runs").alias("__runs"), F.collect_list("m.items").alias("__items"))
+    none = F.array().cast("array<array<bigint>>")
+    words = per_text(lambda: lambda t: (len(fold_words(t)),), "n_words bigint", text)["n_words"]
+    marked = df.withColumn("__name", name).withColumn("__n", words).join(found, "__name", "left")
+    marked = marked.withColumn("__m", F.struct(F.col("__n").alias("n_words"), F.coalesce("__runs", none).alias("runs"), F.coalesce("__items", none).alias("items")))
+    marked = marked.drop("__name", "__n", "__runs", "__items")
     fields = [f.split(" ")[0] for f in _REPORT.split(", ")]
     done = marked.withColumn("__r", _report_udf()(F.col("__m")))
     return done.withColumn(out_col, F.struct(F.col("__m.n_words").alias("n_words"), *[F.col(f"__r.{f}").alias(f) for f in fields])).drop("__m", "__r")
