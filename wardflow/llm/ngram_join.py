@@ -47,9 +47,13 @@ SIDE_ITEMS = 2_000_000
 WIDTH = 1 << 15
 
 
+def _words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
 def shingle_set(text: str | None, size: int, cache: WordHash) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; a shorter text is one shingle of all its words, a text without words none."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    words = _words(text)
     if not words:
         return np.empty(0, np.uint64)
     return np.unique(window_hashes(cache.of(words), min(size, len(words))))
@@ -121,14 +125,24 @@ def _count_slots(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, total = WordHash(), np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                np.add.at(total, (shingle_set(text, size, cache) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+            # With repeats within a text: any order of the shingles is a right one.
+            found = [window_hashes(cache.of(words), min(size, len(words))) for words in map(_words, batch["text"]) if words]
+            if found:
+                total += np.bincount((np.concatenate(found) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(total))
         at = np.flatnonzero(total)
         yield pd.DataFrame({"slot": at.astype(np.int32), "n": total[at]})
 
     return run
 
 
+def _first(sets: np.ndarray, level: np.ndarray, k: int) -> np.ndarray:
+    """The first ``k`` shingles in the order of all shingles: by level, then by a hash.  Only those that may be among them are sorted."""
+    if k < len(sets):
+        near = level <= np.partition(level, k - 1)[k - 1]
+        sets, level = sets[near], level[near]
+    return sets[np.lexsort((mixed(sets), level))[:k]]
+
+
 def _describe(size: int, percent: int, ranks):
     """Per text: set size, a 128-bit name of the set, the prefix shingles and the count vector."""
 
@@ -143,8 +157,7 @@ def _describe(size: int, percent: int, ranks):
             name = xxhash.xxh3_128_intdigest(sets.tobytes())
             names = np.array([name >> 64, name & 0xFFFFFFFFFFFFFFFF], np.uint64).view(np.int64)
             level = rank[(sets >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
-            # An order of all shingles: by level, then by a hash.
-            keys = sets[np.lexsort((mixed(sets), level))[: n - -(-percent * n // 100) + 1]]
+            keys = _first(sets, level, n - -(-percent * n // 100) + 1)
             return n, int(names[0]), int(names[1]), keys.view(np.int64), n - -(-2 * percent * n // (100 + percent)) + 1, point_of(sets)
 
         return one
