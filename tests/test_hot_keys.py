@@ -151,3 +151,77 @@ def test_look_around_encounters(spark, events):
     enc = events.select("k", "id", F.col("ts").alias("start"), (F.col("ts") + F.expr("interval 1 hour")).alias("end"))
     both(spark, lambda: joins.look_forward(enc, "k", "start", "end", 0.2, ["id"]))
     both(spark, lambda: joins.look_back(enc, "k", "start", "end", 0.2, [], "id"))
+
+
+@pytest.fixture
+def probes(spark, monkeypatch):
+    """What the probes looked for, in the order they ran."""
+    asked = []
+    for name in ("_hot_keys", "_cut_points"):
+        def counted(*args, _name=name, _run=getattr(skew, name)):
+            asked.append(_name)
+            return _run(*args)
+
+        monkeypatch.setattr(skew, name, counted)
+    skew._ANSWERS.clear()
+    yield asked
+    skew._ANSWERS.clear()
+
+
+@pytest.mark.parametrize("name", ["unit_stays", "paired_events", "series_day_summary"])
+def test_a_chain_of_operators_looks_for_hot_keys_once(spark, probes, monkeypatch, name):
+    from wardflow.plans import run
+
+    spark.conf.set("spark.wardflow.probeBytes", "0")
+    try:
+        run(name, spark, "/root/testdata/sf0.001")
+        assert probes == ["_hot_keys"]
+        if name == "series_day_summary":
+            return  # the median of hot keys needs cut points along the value
+        spark.conf.set("spark.wardflow.chunkRows", "4")
+        run(name, spark, "/root/testdata/sf0.001")
+        assert probes[1:] == ["_hot_keys", "_cut_points"]
+    finally:
+        spark.conf.unset("spark.wardflow.probeBytes")
+        spark.conf.unset("spark.wardflow.chunkRows")
+
+
+def test_probes_are_shared_between_operators_on_the_same_rows(spark, events, probes, split):
+    first = skew.find_cuts(events, ["k"], "ts", "id")
+    again = skew.find_cuts(events.withColumn("more", F.lit(1)), ["k"], "ts", "id")
+    assert again.points == first.points and probes == ["_hot_keys", "_cut_points"]
+    skew.find_cuts(events, ["k"], "v")  # another order: the keys are known, the cut points are not
+    assert probes[2:] == ["_cut_points"]
+    skew.find_cuts(events, ["kind"], "ts")  # another key
+    skew.find_cuts(events.filter("id > 40"), ["k"], "ts", "id")  # other rows
+    assert probes.count("_hot_keys") == 3
+    spark.conf.set("spark.wardflow.chunkRows", "16")  # another limit
+    skew.find_cuts(events, ["k"], "ts", "id")
+    assert probes.count("_hot_keys") == 4
+
+
+def test_a_rewritten_table_is_probed_again(spark, probes, split, tmp_path):
+    def write(n):
+        spark.range(n).selectExpr("id % 2 AS k", "id AS at").write.mode("overwrite").parquet(str(tmp_path / "t"))
+        return spark.read.parquet(str(tmp_path / "t"))
+
+    assert skew.find_cuts(write(8), ["k"], "at") is None
+    assert skew.find_cuts(write(400), ["k"], "at") is not None
+
+
+def test_kept_probes_are_bounded(spark, events, probes, split, monkeypatch):
+    monkeypatch.setattr(skew, "KEPT_PROBES", 2)
+    for n in range(4):
+        skew.find_cuts(events.filter(F.col("id") >= n), ["k"], "ts", "id")
+    assert len(skew._ANSWERS[events.sparkSession]) <= 2
+
+
+@pytest.mark.parametrize("build", [
+    lambda o: series.islands(o, ["k"], ["ts", "id"], "kind"),
+    lambda o: series.stays(o.with_columns({"stop": F.col("ts") + F.expr("INTERVAL 2 HOURS")}), ["k"], "ts", "stop", "kind", ["id"]),
+    lambda o: series.pair_events(o, ["k"], "ts", ["id"], "kind", "a", "b"),
+    lambda o: courses.series_summary(o, ["k"], "ts", "v", ["id"]).drop("auc", "time_wt_avg", "cum_sum"),
+    lambda o: courses.series_summary(o, ["k", "kind"], "ts", "v", ["id"]).drop("auc", "time_wt_avg", "cum_sum"),
+])
+def test_operators_chained_on_ordered_rows(spark, events, build):
+    both(spark, lambda: build(Ordered(events, ["k"], ["ts", "id"]).whole(last=("max", "ts"))))

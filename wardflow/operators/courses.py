@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import elapsed
-from .series import Ordered, rolling_drop
+from .series import Ordered, ordered, rolling_drop
 
 
 def _numbered(df, keys, ts, tie, gap_hours, name):
@@ -70,7 +70,7 @@ def summarize_drips(runs: DataFrame, keys, ts: str, tie=()) -> DataFrame:
 
 def series_summary(df: DataFrame, keys, ts: str, value: str, tie=()) -> DataFrame:
     """Summary of a series per key (encounter, or encounter and day)."""
-    o = Ordered(df, list(keys), [ts, *tie]).look(_pv=("lag", value), _pt=("lag", ts))
+    o = ordered(df, keys, [ts, *tie]).look(_pv=("lag", value), _pt=("lag", ts))
     place = F.struct(ts, *tie)
     area = F.coalesce(F.sum((F.col(value) + F.col("_pv")) / 2 * elapsed("_pt", ts, "hours")), F.lit(0.0))
     span = elapsed(F.min(ts), F.max(ts), "hours")
@@ -91,7 +91,7 @@ def series_summary(df: DataFrame, keys, ts: str, value: str, tie=()) -> DataFram
         return base
     from .agg import exact_quantiles
 
-    med = exact_quantiles(df, keys, value, (0.5,), ("median_result",))
+    med = exact_quantiles(df.result() if isinstance(df, Ordered) else df, keys, value, (0.5,), ("median_result",))
     # null-safe: a group with an unknown key has a median too
     med = med.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))

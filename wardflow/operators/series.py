@@ -151,6 +151,21 @@ class Ordered:
         return self._with(done.select(*keep))
 
 
+def ordered(rows: DataFrame | Ordered, keys, order) -> Ordered:
+    """``rows`` in the order of ``keys``: one that is ordered so already keeps its cuts and chunk marks.
+
+    Operators that take it can be chained on one :class:`Ordered`, which looks
+    for hot keys once and marks the chunks once.  Cuts of a key hold for a finer
+    key and for a part of its rows.
+    """
+    keys, order = list(keys), list(order)
+    if not isinstance(rows, Ordered):
+        return Ordered(rows, keys, order)
+    if rows.backward or rows.order != order or not set(rows.keys) <= set(keys):
+        return Ordered(rows.result(), keys, order)
+    return rows if rows.keys == keys else Ordered(rows.result(), keys, order, rows.cuts, rows.keys)
+
+
 _CUTTABLE = ("byte", "short", "integer", "long", "float", "double", "timestamp", "date", "string", "binary")
 
 
@@ -203,18 +218,18 @@ def _whole(kind, v, place):
 
 def neighbours(df, keys, order, **outs):
     """``new=("lag"|"lead", column)`` in one pass."""
-    return Ordered(df, keys, order).look(**outs).result()
+    return ordered(df, keys, order).look(**outs).result()
 
 
 def time_to_next(df, keys, ts, tie, unit="hours", last=1.0, name="duration"):
     """Time until the next reading of the key; the last reading counts ``last``."""
-    o = Ordered(df, keys, [ts, *tie]).look(_next=("lead", ts))
+    o = ordered(df, keys, [ts, *tie]).look(_next=("lead", ts))
     return o.result().withColumn(name, F.coalesce(elapsed(ts, "_next", unit), F.lit(float(last)))).drop("_next")
 
 
 def changes(df, keys, ts, tie, value):
     """Change from the previous and the first reading, relative change, and change per hour."""
-    o = Ordered(df, keys, [ts, *tie]).look(_pv=("lag", value), _pt=("lag", ts)).whole(_fv=("first", value))
+    o = ordered(df, keys, [ts, *tie]).look(_pv=("lag", value), _pt=("lag", ts)).whole(_fv=("first", value))
     gap = elapsed("_pt", ts, "hours")
     return o.result().select(
         *df.columns,
@@ -227,13 +242,13 @@ def changes(df, keys, ts, tie, value):
 
 def consecutive_below(df, keys, ts, tie, value, limit, name="two_below"):
     """Flag rows where this and the previous reading are below ``limit``."""
-    o = Ordered(df, keys, [ts, *tie]).look(_pv=("lag", value))
+    o = ordered(df, keys, [ts, *tie]).look(_pv=("lag", value))
     return o.result().withColumn(name, F.coalesce((F.col(value) < limit) & (F.col("_pv") < limit), F.lit(False))).drop("_pv")
 
 
 def running(df, keys, order, **outs):
     """Running ``sum``/``max``/``min``/``last`` columns."""
-    return Ordered(df, keys, order).look(**outs).result()
+    return ordered(df, keys, order).look(**outs).result()
 
 
 def sequence_number(df, keys, order, name="n"):
@@ -243,7 +258,7 @@ def sequence_number(df, keys, order, name="n"):
 
 def since_first(df, keys, ts, tie, unit="hours", name="elapsed"):
     """Time since the key's first reading."""
-    o = Ordered(df, keys, [ts, *tie]).whole(_first=("min", ts))
+    o = ordered(df, keys, [ts, *tie]).whole(_first=("min", ts))
     return o.result().withColumn(name, elapsed("_first", ts, unit)).drop("_first")
 
 
@@ -251,7 +266,7 @@ def since_first(df, keys, ts, tie, unit="hours", name="elapsed"):
 
 def islands(df, keys, order, label, name="island"):
     """Number the runs of equal ``label`` inside a key (1, 2, …); nulls form runs too."""
-    o = Ordered(df, keys, order).look(_pl=("lag", F.struct(F.col(label).alias("v"))))
+    o = ordered(df, keys, order).look(_pl=("lag", F.struct(F.col(label).alias("v"))))
     fresh = F.col("_pl").isNull() | ~F.col(label).eqNullSafe(F.col("_pl")["v"])
     o = o.with_columns({"_new": fresh.cast("bigint")}).look(**{name: ("sum", "_new")})
     return o.result().drop("_pl", "_new")
@@ -268,8 +283,10 @@ def stays(df, keys, start, stop, unit, tie, until=None, min_minutes=1.0):
     end = F.col(stop)
     if until:
         end = F.when(end.isNotNull() & F.col(until).isNotNull(), F.least(end, F.col(until)))
-        df = df.filter(F.col(until) >= F.col(start))
-    rows = df.withColumn("_len", elapsed(F.col(start), end, "days")).filter(F.col("_len") >= min_minutes / 1440)
+    rows = ordered(df, keys, [start, *tie])
+    if until:
+        rows = rows.filter(F.col(until) >= F.col(start))
+    rows = rows.with_columns({"_len": elapsed(F.col(start), end, "days")}).filter(F.col("_len") >= min_minutes / 1440)
     return (
         islands(rows, keys, [start, *tie], unit, "unit_count")
         .groupBy(*keys, "unit_count", unit)
@@ -288,7 +305,7 @@ def sessions(df, keys, start, stop, tie, gap_hours):
     end starts a new session.  The session ends where its last row ends, and
     sessions with an unknown end are dropped.
     """
-    o = Ordered(df, keys, [start, *tie]).look(_pe=("lag", stop))
+    o = ordered(df, keys, [start, *tie]).look(_pe=("lag", stop))
     gap = elapsed("_pe", start, "hours")
     o = o.with_columns({"_new": (gap.isNull() | (gap > gap_hours)).cast("bigint")}).look(session=("sum", "_new"))
     return (
@@ -310,13 +327,11 @@ def pair_events(df, keys, ts, tie, kind, start, stop, fallbacks=()):
     n-th start is paired with the n-th stop, and a missing stop is taken from
     the ``fallbacks`` columns (constant per key) in order.
     """
-    rows = df.filter(F.col(kind).isin(start, stop))
-    o = Ordered(rows, keys, [ts, *tie]).look(_pk=("lag", kind))
+    o = ordered(df, keys, [ts, *tie]).filter(F.col(kind).isin(start, stop)).look(_pk=("lag", kind))
     o = o.filter(F.col("_pk").isNull() | (F.col("_pk") != F.col(kind)))
-    heads = o.df.filter(~(F.col("_pk").isNull() & (F.col(kind) == stop)))
-    heads = Ordered.result(o._with(heads)).drop("_pk")
+    o = o.filter(~(F.col("_pk").isNull() & (F.col(kind) == stop)))
     # alternating now, so the pair number is the count of starts so far
-    o = Ordered(heads, keys, [ts, *tie], o.cuts).look(pair=("sum", (F.col(kind) == start).cast("bigint")))
+    o = o.look(pair=("sum", (F.col(kind) == start).cast("bigint")))
     pairs = o.result().groupBy(*keys, "pair").agg(
         F.min(F.when(F.col(kind) == start, F.col(ts))).alias("start_datetime"),
         F.min(F.when(F.col(kind) == stop, F.col(ts))).alias("stop_datetime"),
@@ -440,7 +455,7 @@ def time_in_band(df, keys, ts, tie, value, bands, last_hours=1.0):
 
 def auc(df, keys, ts, tie, value):
     """Trapezoid area (value x hours), its duration and the time-weighted mean."""
-    o = Ordered(df, keys, [ts, *tie]).look(_pv=("lag", value), _pt=("lag", ts))
+    o = ordered(df, keys, [ts, *tie]).look(_pv=("lag", value), _pt=("lag", ts))
     area = (F.col(value) + F.col("_pv")) / 2 * elapsed("_pt", ts, "hours")
     return (
         o.result()

@@ -17,8 +17,10 @@ every row is worked on whatever the sample held.
 from __future__ import annotations
 
 import math
+from collections import OrderedDict
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,8 @@ MAX_CHUNKS = 20_000
 COUNTED_BYTES = 8 * 1024**3
 # Rows looked at to place one cut point.
 PLACED_ROWS = 200
+# Answers of probes kept for a session, the oldest go first; one holds at most MAX_CHUNKS values.
+KEPT_PROBES = 64
 
 
 def setting(spark, name: str, default: int) -> int:
@@ -148,13 +152,42 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys) if keys else F.lit(0).cast("long")
 
 
+# Per session: (hash of the plan, question) -> (plan, answer).
+_ANSWERS: WeakKeyDictionary[SparkSession, OrderedDict] = WeakKeyDictionary()
+
+
+def _once(rows: DataFrame, question: tuple, find):
+    """``find()``, or its answer to the same question about the same rows earlier in the session.
+
+    Whether rows are the same is Catalyst's decision on the pruned plans: the
+    window columns that an operator added are gone there, so operators in a
+    chain, and reports on one table, share a probe.  A table written anew under
+    its path has another size; where it has not, an old answer may cut a key
+    at less even places, and every row is worked on all the same.
+    """
+    try:
+        plan = rows._jdf.queryExecution().optimizedPlan()
+        key = (plan.semanticHash(), scanned_bytes(rows), *question)
+    except Exception:  # e.g. a Connect session
+        return find()
+    kept = _ANSWERS.setdefault(rows.sparkSession, OrderedDict())
+    if key in kept and kept[key][0].sameResult(plan):
+        kept.move_to_end(key)
+        return kept[key][1]
+    answer = find()
+    kept[key] = (plan, answer)
+    while len(kept) > KEPT_PROBES:
+        kept.popitem(last=False)
+    return answer
+
+
 def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -> Cuts | None:
     """Cut points for the hot keys of ``df``, or None when no key is hot.
 
     The first pass counts rows per key, of a sample when the inputs are large:
     a key above the limit has thousands of sampled rows there, so it is seen.
     Only when there are hot keys does a second pass take quantiles of the
-    ordering column of those keys.
+    ordering column of those keys.  Both are asked once per session and rows.
     """
     spark = df.sparkSession
     if is_small(df):
@@ -164,21 +197,33 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
     lean = df.select(key_hash(keys).alias("h"), at_number.alias("a"), tie_number.alias("b"))
     size = scanned_bytes(df)
     share = min(1.0, COUNTED_BYTES / size) if size else 1.0
-    if share < 1.0:
-        lean = lean.sample(share, seed=17)
+    question = (share, setting(spark, CHUNK_ROWS, DEFAULT_CHUNK_ROWS), MAX_CHUNKS, PLACED_ROWS)
+    only_keys = lean.select("h")
+    hot, target = _once(only_keys, ("hot", *question), lambda: _hot_keys(only_keys, share))
+    if not hot:
+        return None
+    cuts = _once(lean, ("cuts", bool(tie), *question), lambda: _cut_points(lean, share, hot, target, tie))
+    return Cuts(spark, cuts) if cuts else None
+
 
-    per_key = lean.groupBy("h").agg(F.count("*").alias("c"))
+def _hot_keys(only_keys: DataFrame, share: float) -> tuple[dict[int, int], float]:
+    """Hashes of the hot keys with their rows, and the rows of a chunk, both counted in the sample."""
+    spark = only_keys.sparkSession
+    rows = only_keys.sample(share, seed=17) if share < 1.0 else only_keys
+    per_key = rows.groupBy("h").agg(F.count("*").alias("c"))
     heaviest = per_key.orderBy(F.desc("c")).limit(MAX_CHUNKS // 2).withColumn("is_total", F.lit(False))
     total = per_key.agg(F.sum("c").alias("c")).select(F.lit(None).cast("bigint").alias("h"), "c", F.lit(True).alias("is_total"))
     # both halves read the same exchange
     found = heaviest.unionByName(total).collect()
     n = next(r["c"] for r in found if r["is_total"]) or 0
-    # in rows of the sample
     target = max(setting(spark, CHUNK_ROWS, DEFAULT_CHUNK_ROWS) * share, n / MAX_CHUNKS, 1)
-    hot = {r["h"]: r["c"] for r in found if not r["is_total"] and r["c"] > 2 * target}
-    if not hot:
-        return None
+    return {r["h"]: r["c"] for r in found if not r["is_total"] and r["c"] > 2 * target}, target
 
+
+def _cut_points(lean: DataFrame, share: float, hot: dict[int, int], target: float, tie: str | None) -> dict[int, list[tuple]]:
+    """Sorted ``(value, tie)`` pairs per hot key."""
+    spark = lean.sparkSession
+    lean = lean.sample(share, seed=17) if share < 1.0 else lean
     points = _quantile_points(spark, lean.select("h", "a"), hot, target)
     cuts = {h: sorted({(a, None) for a in values}, key=lambda p: _sorted_as(p[0])) for h, values in points.items()}
     if tie:
@@ -196,8 +241,7 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
                 cuts[h] = cuts[h] + [(a, b) for b in set(values) if b is not None]
             for h in cuts:
                 cuts[h] = sorted(set(cuts[h]), key=lambda p: (_sorted_as(p[0]), p[1] is not None, p[1] is not None and _sorted_as(p[1])))
-    cuts = {h: c for h, c in cuts.items() if c}
-    return Cuts(spark, cuts) if cuts else None
+    return {h: c for h, c in cuts.items() if c}
 
 
 def _sorted_as(value):

@@ -85,8 +85,8 @@ def infusion_summary(t):
            round(coalesce(sum((value + pv) / 2 * {hours('pt', 'ts')}), 0) / nullif({hours('min(ts)', 'max(ts)')}, 0), 4) AS time_wt_avg FROM s GROUP BY 1, 2
 """)
 def series_day_summary(t):
-    rows = series.Ordered(t.events.drop("props"), KEY, [TS, *TIE]).whole(admit=("min", "ts")).result()
-    rows = rows.withColumn("hosp_day", F.floor(elapsed("admit", "ts", "hours") / 24).cast("bigint"))
+    rows = series.Ordered(t.events.drop("props"), KEY, [TS, *TIE]).whole(admit=("min", "ts"))
+    rows = rows.with_columns({"hosp_day": F.floor(elapsed("admit", "ts", "hours") / 24).cast("bigint")})
     return _rounded(courses.series_summary(rows, ["user_id", "hosp_day"], TS, "value", TIE), 4)
 
 

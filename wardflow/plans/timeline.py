@@ -66,8 +66,8 @@ def label_islands(t):
     SELECT user_id, unit_count, event_type AS unit, min(ts) AS unit_in_datetime, max(stop) AS unit_out_datetime, round(sum(len), 6) AS unit_los FROM u GROUP BY 1, 2, 3
 """)
 def unit_stays(t):
-    history = series.Ordered(t.events.drop("props"), KEY, [TS, *TIE]).look(stop=("lead", "ts")).whole(disch=("max", "ts")).result()
-    out = series.stays(history.withColumnRenamed("event_type", "unit"), KEY, TS, "stop", "unit", TIE, until="disch", min_minutes=60)
+    history = series.Ordered(t.events.drop("props"), KEY, [TS, *TIE]).look(stop=("lead", "ts")).whole(disch=("max", "ts"))
+    out = series.stays(history.with_columns({"unit": F.col("event_type")}), KEY, TS, "stop", "unit", TIE, until="disch", min_minutes=60)
     return out.withColumn("unit_los", F.round("unit_los", 6))
 
 
@@ -88,7 +88,7 @@ def gap_sessions(t):
     SELECT user_id, pair, a AS start_datetime, coalesce(b, e) AS stop_datetime, {days('a', 'coalesce(b, e)')} AS duration_days FROM p JOIN (SELECT user_id, max(ts) AS e FROM events GROUP BY 1) USING (user_id)
 """)
 def paired_events(t):
-    rows = series.Ordered(t.events.drop("props"), KEY, [TS, *TIE]).whole(disch=("max", "ts")).result()
+    rows = series.Ordered(t.events.drop("props"), KEY, [TS, *TIE]).whole(disch=("max", "ts"))
     return series.pair_events(rows, KEY, TS, TIE, "event_type", "view", "purchase", ["disch"])
 
 
