@@ -119,6 +119,22 @@ def test_tree_finds_all_within_the_bound():
         assert want <= set(tree.search(int(n[i]), points[i], 85).tolist())
 
 
+def test_a_pair_that_meets_in_many_keys_is_told_once():
+    rng = random.Random(8)
+    point = ngram_join.packed(np.ones(ngram_join.GROUPS, np.int64))
+    # Variants of one text: each has most of the keys, each key most of the variants, and two keys are shared by one pair only.
+    keys_of = {i: sorted({k for k in range(60) if rng.random() < 0.7} | {100 + i // 2}) for i in range(30)}
+    batches = []
+    for key in sorted({k for keys in keys_of.values() for k in keys}):
+        rows = [(key, 0, i % 3 > 0, i, i, ngram_join.GROUPS, point, [k for k in keys if k < key][-ngram_join.EARLIER :]) for i, keys in keys_of.items() if key in keys]
+        names = ["key", "block", "home", "node", "comp", "n", "point", "earlier"]
+        batches.append(pd.DataFrame(sorted(rows, key=lambda r: not r[2]), columns=names))
+    told = [pair for out in ngram_join._tree_pairs(85)(iter(batches)) for pair in out.itertuples(index=False, name=None)]
+    homes = {i for i in keys_of if i % 3}
+    assert set(told) == {(a, b) for a in keys_of for b in keys_of if a < b and {a, b} & homes and set(keys_of[a]) & set(keys_of[b])}
+    assert len(told) < 1.2 * len(set(told))
+
+
 def test_graph_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (20, 21), (7, 7), (None, 1)], "a bigint, b bigint")
     assert {r.node: r.comp for r in graph.components(links).collect()} == {3: 3, 4: 3, 5: 3, 9: 3, 20: 20, 21: 20}

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHash, column, mixed, per_text, tune, window_hashes, written
@@ -45,6 +45,8 @@ SIDE = 256
 SIDE_ITEMS = 2_000_000
 # Distinct shingles compared at once.
 WIDTH = 1 << 15
+# Earlier keys of a document that travel with it to a tree, so that a pair is told by one of its trees, not by each.
+EARLIER = 8
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -225,31 +227,30 @@ def _tree_pairs(percent: int):
 
     Rows come sorted by key, block and home members first, so a group is read once and only its home
     members, at most about ``BLOCK``, are held.
+
+    A pair that meets in many keys is told once: each member brings its last ``EARLIER`` keys before this one, and a
+    pair with one of them in common has met there already.  Of the keys that two members share the least one is
+    before all others, so no pair is lost; one with no common key among the last few is told again.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, held, tree, nodes, comps = None, [], None, None, None
+        current, held, tree = None, [], None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for key, block, home, node, comp, n, point in zip(*(batch[c] for c in ("key", "block", "home", "node", "comp", "n", "point"))):
+            for key, block, home, node, comp, n, point, earlier in zip(*(batch[c] for c in ("key", "block", "home", "node", "comp", "n", "point", "earlier"))):
                 if (key, block) != current:
                     if held:
                         out += _within(held, percent)
                     current, held, tree = (key, block), [], None
-                point = read_point(point)
+                member = (node, comp, n, read_point(point), np.asarray(earlier, np.int64))
                 if home:
-                    held.append((node, comp, n, point))
+                    held.append(member)
                     continue
                 if tree is None:
-                    own, held_now = held, held
-                    out += _within(own, percent)
-                    nodes, comps = np.array([h[0] for h in held_now]), np.array([h[1] for h in held_now])
-                    tree = CountTree(np.array([h[2] for h in held_now]), np.array([h[3] for h in held_now])) if held_now else False
-                    held = []
+                    out += _within(held, percent)
+                    tree, held = _Members(held) if held else False, []
                 if tree:
-                    for i in tree.search(n, point, percent):
-                        if comps[i] != comp:
-                            out.append((min(node, nodes[i]), max(node, nodes[i])))
+                    out += tree.met(member, percent)
             yield pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
         if held:
             yield pd.DataFrame(sorted(set(_within(held, percent))), columns=["a", "b"], dtype="int64")
@@ -257,11 +258,32 @@ def _tree_pairs(percent: int):
     return run
 
 
+class _Members:
+    """The home members of a tree: rows of node, component, set size, point and earlier keys."""
+
+    def __init__(self, held: list[tuple]) -> None:
+        self.nodes, self.comps = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
+        self.tree = CountTree(np.array([h[2] for h in held]), np.array([h[3] for h in held]))
+        self.earlier = np.zeros((len(held), EARLIER), np.int64)
+        self.known = np.zeros((len(held), EARLIER), bool)
+        for i, h in enumerate(held):
+            self.earlier[i, : len(h[4])], self.known[i, : len(h[4])] = h[4], True
+
+    def met(self, member: tuple, percent: int) -> list[tuple[int, int]]:
+        """Pairs of the member with members of other components that the bound allows and that no earlier key has told."""
+        node, comp, n, point, earlier = member
+        at = self.tree.search(n, point, percent)
+        at = at[self.comps[at] != comp]
+        if len(at) and len(earlier):
+            at = at[~(np.isin(self.earlier[at], earlier) & self.known[at]).any(axis=1)]
+        return [(min(node, other), max(node, other)) for other in self.nodes[at]]
+
+
 def _within(held: list[tuple], percent: int) -> list[tuple[int, int]]:
     if len(held) < 2 or len({h[1] for h in held}) < 2:
         return []
-    tree = CountTree(np.array([h[2] for h in held]), np.array([h[3] for h in held]))
-    return [(min(node, held[i][0]), max(node, held[i][0])) for node, comp, n, point in held for i in tree.search(n, point, percent) if held[i][1] != comp]
+    members = _Members(held)
+    return [pair for member in held for pair in members.met(member, percent)]
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -467,11 +489,15 @@ def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     several = sizes.groupBy("key", "band").agg(F.sum("k").alias("members"), F.max_by("comp", "k").alias("main"), F.count("*").alias("parts"), F.max("near").alias("near"), F.max("inside").alias("inside"))
     several = several.where("parts > 1 and near and inside").select("key", "band", "members", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     dealt = placed.drop("near", "own").join(several, ["key", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # All trees of a document are known by now, so its earlier ones are.  They are those of the same class, where alone a pair can meet.
+    dealt = dealt.join(coarse, "node")
+    before = Window.partitionBy("node", "band").orderBy("key").rowsBetween(-EARLIER, -1)
+    dealt = dealt.withColumn("earlier", F.collect_list("key").over(before))
     # The main component's documents meet the others, not each other: each goes to one block, the others to all.
     dealt = dealt.withColumn("block", F.explode(F.when((F.col("comp") == F.col("main")) & F.col("inside"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    dealt = dealt.select("key", "band", "block", (F.col("inside") & (F.col("own") == F.col("block"))).alias("home"), "node", "comp").join(coarse, "node")
+    dealt = dealt.select("key", "band", "block", (F.col("inside") & (F.col("own") == F.col("block"))).alias("home"), "node", "comp", "n", "point", "earlier")
     trees = dealt.repartition("key", "band", "block").sortWithinPartitions("key", "band", "block", F.desc("home"))
-    trees = trees.select("key", (F.col("band").cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "home", "node", "comp", "n", "point")
+    trees = trees.select("key", (F.col("band").cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "home", "node", "comp", "n", "point", "earlier")
     more = written(trees.mapInPandas(_tree_pairs(percent), "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     more = written(_verified(bounded(more), known, size, percent), "edges")
     return {
