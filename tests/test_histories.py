@@ -250,3 +250,37 @@ def test_skew_rejects_only_unordered_columns(spark):
     df = spark.range(3).selectExpr("id", "array(id) AS a")
     with pytest.raises(TypeError):
         skew.order_number(df, "a")
+
+
+# -- large tables of ordinary keys
+
+@pytest.fixture
+def large(spark):
+    """Tables count as large, no key as hot."""
+    spark.conf.set("spark.wardflow.probeBytes", "0")
+    yield
+    spark.conf.unset("spark.wardflow.probeBytes")
+
+
+@pytest.mark.parametrize("name", ["interval_overlap_join", "validity_overlap_join", "point_in_interval_join"])
+def test_rows_of_ordinary_keys_are_not_dealt_to_bins(spark, large, name):
+    assert "Generate" not in plan(run(name, spark, "/root/testdata/sf0.001"))
+
+
+def test_only_crowded_keys_are_dealt_to_bins(spark, large, light, monkeypatch):
+    monkeypatch.setattr(skew, "MEET_ROWS", 8)
+    rnd = random.Random(5)
+    keys = [1] * 60 + [2] * 3 + [None] * 40
+    a = [(k, i, hour(rnd.randint(0, 90)), rnd.randint(0, 20)) for i, k in enumerate(keys)]
+    b = [(k, i, hour(rnd.randint(0, 90)), rnd.randint(0, 20)) for i, k in enumerate(keys)]
+    left = spark.createDataFrame(a, "k int, a int, a0 timestamp, n int").selectExpr("k", "a", "a0", "a0 + make_interval(0,0,0,0,n) AS a1")
+    right = spark.createDataFrame(b, "k int, b int, b0 timestamp, n int").selectExpr("k", "b", "b0", "b0 + make_interval(0,0,0,0,n) AS b1")
+    assert skew.crowded_keys(left, right, ["k"]) == [r.h for r in spark.sql("SELECT xxhash64(1) AS h").collect()]
+    got = joins.overlap_join(left, right, ["k"], "a0", "a1", "b0", "b1")
+    hours = dt.timedelta(hours=1)
+    met = {(x[1], y[1]) for x in a for y in b if x[0] == y[0] is not None and x[2] <= y[2] + y[3] * hours and y[2] <= x[2] + x[3] * hours}
+    assert sorted((r.a, r.b) for r in got.collect()) == sorted(met)
+    got = joins.interval_join(left, right, ["k"], "a0", "b0", "b1", how="left")
+    inside = [(x[1], y[1]) for x in a for y in b if x[0] == y[0] is not None and y[2] <= x[2] <= y[2] + y[3] * hours]
+    alone = {x[1] for x in a} - {i for i, _ in inside}
+    assert sorted((r.a, -1 if r.b is None else r.b) for r in got.collect()) == sorted([*inside, *((i, -1) for i in alone)])

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import elapsed, offset
 from .pick import pick_first
 from .series import Ordered
-from .skew import is_small
+from .skew import crowded_keys, is_small, parted
 
 
 def restrict_to(df: DataFrame, ids: DataFrame, on, keep: bool = True) -> DataFrame:
@@ -268,18 +268,35 @@ def interval_join(points: DataFrame, spans: DataFrame, keys, ts: str, start: str
 
     ``closed``: ``both``, ``left`` (stop excluded), ``right`` (start excluded) or
     ``neither``.  Column names of the two sides must differ apart from ``keys``;
-    spans with an unknown bound contain nothing.  Small inputs are joined on the
-    key alone.  Large ones are joined on the key and a time bin, so that a point
-    only meets spans near it and a key with many rows is spread over its bins;
-    bins come in several widths, a span uses the one that suits its length, and
-    points look in the widths that occur.
+    spans with an unknown bound contain nothing.  Rows are joined on the key
+    alone, those of crowded keys (see :func:`~wardflow.operators.skew.crowded_keys`)
+    on the key and a time bin, so that a point only meets spans near it and the
+    key is spread over its bins; bins come in several widths, a span uses the one
+    that suits its length, and points look in the widths that occur.
     """
     keys = list(keys)
-    inside = (F.col(ts) > F.col(start)) if closed in ("right", "neither") else (F.col(ts) >= F.col(start))
-    inside = inside & ((F.col(ts) < F.col(stop)) if closed in ("left", "neither") else (F.col(ts) <= F.col(stop)))
     spans = spans.filter(F.col(start) <= F.col(stop))
-    if is_small(points, spans):
-        return _match(points, spans, keys, ts, start, stop, inside, None, how)
+    args = keys, ts, start, stop, closed, how
+    crowded = [] if is_small(points, spans) else crowded_keys(points, spans, keys) if keys else None
+    if crowded == []:
+        return _met(points, spans, *args)
+    if crowded is None:
+        return _met_in_bins(points, spans, *args)
+    (cold, hot), (cold_spans, hot_spans) = parted(points, keys, crowded), parted(spans, keys, crowded)
+    return _met(cold, cold_spans, *args).unionByName(_met_in_bins(hot, hot_spans, *args))
+
+
+def _inside_span(ts, start, stop, closed) -> Column:
+    inside = (F.col(ts) > F.col(start)) if closed in ("right", "neither") else (F.col(ts) >= F.col(start))
+    return inside & ((F.col(ts) < F.col(stop)) if closed in ("left", "neither") else (F.col(ts) <= F.col(stop)))
+
+
+def _met(points, spans, keys, ts, start, stop, closed="both", how="inner"):
+    return _match(points, spans, keys, ts, start, stop, _inside_span(ts, start, stop, closed), None, how)
+
+
+def _met_in_bins(points, spans, keys, ts, start, stop, closed="both", how="inner"):
+    inside = _inside_span(ts, start, stop, closed)
     # at most one row per width
     used = spans.select(_level(F.col(start), F.col(stop)).alias("level")).distinct().collect()
     levels = sorted(r["level"] for r in used) or [0]
@@ -323,19 +340,31 @@ def _uncovered(points, spans, keys, ts, start, stop, closed):
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys, a_start, a_stop, b_start, b_stop) -> DataFrame:
-    """Pairs of spans of the same key that share at least one instant."""
+    """Pairs of spans of the same key that share at least one instant; those of crowded keys meet in bins, as in :func:`interval_join`."""
     keys = list(keys)
-    if is_small(a, b):
-        right = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-        cond = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_k_{k}") for k in keys])
-        cond = cond & (F.col(a_start) <= F.col(b_stop)) & (F.col(b_start) <= F.col(a_stop))
-        cond = cond & (F.col(a_start) <= F.col(a_stop)) & (F.col(b_start) <= F.col(b_stop))
-        return a.join(right, cond).drop(*[f"_k_{k}" for k in keys])
-    # b starts inside a, or a starts inside b but after it: disjoint cases.
     a = a.filter(F.col(a_start) <= F.col(a_stop))
     b = b.filter(F.col(b_start) <= F.col(b_stop))
-    one = interval_join(b, a, keys, b_start, a_start, a_stop)
-    two = interval_join(a, b, keys, a_start, b_start, b_stop, closed="right")
+    bounds = a_start, a_stop, b_start, b_stop
+    crowded = [] if is_small(a, b) else crowded_keys(a, b, keys) if keys else None
+    if crowded == []:
+        return _overlaps(a, b, keys, *bounds)
+    if crowded is None:
+        return _overlaps_in_bins(a, b, keys, *bounds)
+    (cold_a, hot_a), (cold_b, hot_b) = parted(a, keys, crowded), parted(b, keys, crowded)
+    return _overlaps(cold_a, cold_b, keys, *bounds).unionByName(_overlaps_in_bins(hot_a, hot_b, keys, *bounds))
+
+
+def _overlaps(a, b, keys, a_start, a_stop, b_start, b_stop):
+    right = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    cond = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    cond = cond & (F.col(a_start) <= F.col(b_stop)) & (F.col(b_start) <= F.col(a_stop))
+    return a.join(right, cond).drop(*[f"_k_{k}" for k in keys])
+
+
+def _overlaps_in_bins(a, b, keys, a_start, a_stop, b_start, b_stop):
+    # b starts inside a, or a starts inside b but after it: disjoint cases.
+    one = _met_in_bins(b, a, keys, b_start, a_start, a_stop)
+    two = _met_in_bins(a, b, keys, a_start, b_start, b_stop, closed="right")
     cols = [*a.columns, *[c for c in b.columns if c not in keys]]
     return one.select(*cols).unionByName(two.select(*cols))
 

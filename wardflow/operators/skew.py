@@ -34,6 +34,8 @@ DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
 MAX_CHUNKS = 20_000
 # Inputs up to this size are counted in full, larger ones in proportion.
 COUNTED_BYTES = 8 * 1024**3
+# Rows of a key that a row may meet in a join, on average, before the key is dealt to bins.
+MEET_ROWS = 1_000
 # Rows looked at to place one cut point.
 PLACED_ROWS = 200
 # Answers of probes kept for a session, the oldest go first; one holds at most MAX_CHUNKS values.
@@ -181,6 +183,50 @@ def _once(rows: DataFrame, question: tuple, find):
     return answer
 
 
+def has_hot_key(df: DataFrame, keys: list[str]) -> bool:
+    """Some key of ``df`` has more rows than one task should order; asked once per session and rows."""
+    return not is_small(df) and bool(_found_hot(df.select(key_hash(keys).alias("h")), *_question(df))[0])
+
+
+def _question(df: DataFrame) -> tuple[float, tuple]:
+    """The share of the rows that is counted, and what an answer depends on."""
+    size = scanned_bytes(df)
+    share = min(1.0, COUNTED_BYTES / size) if size else 1.0
+    return share, (share, setting(df.sparkSession, CHUNK_ROWS, DEFAULT_CHUNK_ROWS), MAX_CHUNKS, PLACED_ROWS)
+
+
+def _found_hot(only_keys: DataFrame, share: float, question: tuple) -> tuple[dict[int, int], float]:
+    return _once(only_keys, ("hot", *question), lambda: _hot_keys(only_keys, share))
+
+
+def crowded_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> list[int] | None:
+    """Hashes of the keys whose rows of both sides are too many to meet on the key alone; None when they are too many to list.
+
+    A row may meet ``MEET_ROWS`` rows of its key on average, and a key have as many rows as one that is not hot.
+    """
+    chunk = setting(left.sparkSession, CHUNK_ROWS, DEFAULT_CHUNK_ROWS)
+    most = min(MEET_ROWS, chunk)
+    known = [df.filter(" and ".join(f"`{k}` is not null" for k in keys) or "true") for df in (left, right)]
+    sides = [df.select(key_hash(keys).alias("h"), F.lit(1 - i).alias("a"), F.lit(i).alias("b")) for i, df in enumerate(known)]
+    rows = sides[0].unionByName(sides[1])
+
+    def find():
+        per_key = rows.groupBy("h").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
+        both = F.col("a") + F.col("b")
+        crowded = per_key.filter((F.col("a") > 0) & (F.col("b") > 0) & ((F.col("a") * F.col("b") > most * both) | (both > 2 * chunk)))
+        found = [r["h"] for r in crowded.select("h").limit(MAX_CHUNKS // 2 + 1).collect()]
+        return None if len(found) > MAX_CHUNKS // 2 else found
+
+    return _once(rows, ("crowded", most, chunk, MAX_CHUNKS), find)
+
+
+def parted(df: DataFrame, keys: list[str], hashes: list[int]) -> tuple[DataFrame, DataFrame]:
+    """The rows of the other keys, and those of the keys with these hashes (at most ``MAX_CHUNKS / 2``, which are broadcast)."""
+    listed = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hashes], "_listed bigint"))
+    on = key_hash(keys) == F.col("_listed")
+    return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
+
+
 def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -> Cuts | None:
     """Cut points for the hot keys of ``df``, or None when no key is hot.
 
@@ -195,11 +241,8 @@ def find_cuts(df: DataFrame, keys: list[str], at: str, tie: str | None = None) -
     at_number = order_number(df, at)
     tie_number = order_number(df, tie) if tie else F.lit(None).cast("bigint")
     lean = df.select(key_hash(keys).alias("h"), at_number.alias("a"), tie_number.alias("b"))
-    size = scanned_bytes(df)
-    share = min(1.0, COUNTED_BYTES / size) if size else 1.0
-    question = (share, setting(spark, CHUNK_ROWS, DEFAULT_CHUNK_ROWS), MAX_CHUNKS, PLACED_ROWS)
-    only_keys = lean.select("h")
-    hot, target = _once(only_keys, ("hot", *question), lambda: _hot_keys(only_keys, share))
+    share, question = _question(df)
+    hot, target = _found_hot(lean.select("h"), share, question)
     if not hot:
         return None
     cuts = _once(lean, ("cuts", bool(tie), *question), lambda: _cut_points(lean, share, hot, target, tie))
