@@ -284,3 +284,18 @@ def test_only_crowded_keys_are_dealt_to_bins(spark, large, light, monkeypatch):
     inside = [(x[1], y[1]) for x in a for y in b if x[0] == y[0] is not None and y[2] <= x[2] <= y[2] + y[3] * hours]
     alone = {x[1] for x in a} - {i for i, _ in inside}
     assert sorted((r.a, -1 if r.b is None else r.b) for r in got.collect()) == sorted([*inside, *((i, -1) for i in alone)])
+
+
+def test_steps_of_ordinary_keys_stay_where_their_states_are(spark, large):
+    text = plan(run("asof_two_histories", spark, "/root/testdata/sf0.001"))
+    # The events' exchange, one of each history, and what joins the owners to its rows; the steps of crowded instants come on top.
+    after = text.split("Union")[0]
+    assert "Window" in after and "Exchange" not in after
+
+
+@pytest.mark.parametrize("few", [0, 2, 32])
+def test_calm_steps_equal_brute_force(light, large, given, monkeypatch, few):
+    monkeypatch.setattr(joins, "_FEW", few)
+    events, places, weights, e, p, w = given
+    out = asof_histories(e, [History(p, "at", ["place"], ["tie"], "beg", "end"), History(w, "weighed", ["weight"])], ["k"], "t")
+    assert {r.id: (r.place, r.weight) for r in out.collect()} == brute(events, places, weights, False, True, True)

@@ -11,14 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import elapsed, offset
 from .pick import pick_first
 from .series import Ordered
-from .skew import crowded_keys, is_small, parted
+from .skew import crowded_keys, has_hot_key, is_small, parted
 
 
 def restrict_to(df: DataFrame, ids: DataFrame, on, keep: bool = True) -> DataFrame:
@@ -90,9 +90,15 @@ def asof_histories(events: DataFrame, histories: Sequence[History], keys, ts: st
 
     Events and states are unioned and the last state of every history is carried
     forward: one exchange and one sort whatever the number of histories.
-    Histories with periods are first turned into steps, see :func:`_steps`.
+    Histories with periods are first turned into steps, see :func:`_steps`; in large inputs without hot keys the rows
+    of each are dealt by key once and the steps stay there.
     """
     keys = list(keys)
+    kind = events.schema[ts].dataType
+    timed = any(h.valid_from or h.valid_to for h in histories)
+    # The given rows are counted, so that no step is made only to be counted.
+    raw = [events.select(*keys), *[h.states.filter(F.col(h.at).isNotNull()).select(*keys) for h in histories]]
+    calm = timed and not is_small(*raw) and not has_hot_key(reduce(DataFrame.union, raw), keys)
     event_cols = [c for c in events.columns if c not in keys]
     # Place inside one instant: any spread that the row itself decides, so that a hot instant can be cut.
     if is_small(events, *[h.states for h in histories]):
@@ -101,20 +107,22 @@ def asof_histories(events: DataFrame, histories: Sequence[History], keys, ts: st
         plain = [c for c in events.columns if isinstance(events.schema[c].dataType, T.AtomicType)]
         spread = F.pmod(F.xxhash64(*plain), F.lit(2**31 - 1)) + 1
     rows = events.select(*keys, F.col(ts).alias("_at"), (-spread if strict else spread).alias("_pos"), F.struct(*event_cols).alias("_event"))
+    rows = rows.repartition(*keys) if calm and keys else rows
     ties, found = [], {}
     for i, history in enumerate(histories):
         fields = [f"_t{i}_{j}" for j in range(len(history.tie))]
         known = history.states.filter(F.col(history.at).isNotNull())
         if history.valid_from or history.valid_to:
-            stated = _steps(known, history, keys, events.schema[ts].dataType).withColumnRenamed("_step", f"_s{i}")
+            stated = (_calm_steps if calm else _steps)(known, history, keys, kind).withColumnRenamed("_step", f"_s{i}")
         else:
             state = F.struct(F.struct(*history.cols).alias("v")).alias(f"_s{i}")
             tied = [F.col(c).alias(f) for c, f in zip(history.tie, fields)]
             stated = known.select(*keys, F.col(history.at).alias("_at"), F.lit(0).cast("bigint").alias("_pos"), state, *tied)
+            stated = stated.repartition(*keys) if calm and keys else stated
             ties += fields
         rows = rows.unionByName(stated, allowMissingColumns=True)
         found[f"_f{i}"] = ("last", f"_s{i}")
-    filled = Ordered(rows, keys, ["_at", "_pos", *ties]).look(**found).result()
+    filled = Ordered(rows, keys, ["_at", "_pos", *ties], None if calm else "find").look(**found).result()
     out = filled.filter(F.col("_event").isNotNull())
     out = out.withColumns({f: F.when(F.col("_at").isNotNull(), F.col(f)["v"]) for f in found})
     if how == "inner":
@@ -131,6 +139,21 @@ def _steps(known: DataFrame, history: History, keys: list[str], kind: T.DataType
     instant of the key.  That is all for instants of one state.  Where several
     states of an instant have periods, the steps come from :func:`_tied_steps`.
     """
+    placed = _placed(_lean(known, history, keys, kind), keys, "find")
+    rows = placed.withColumn("_tied", F.coalesce((F.col("_before") == F.col("_at")) | (F.col("_after") == F.col("_at")), F.lit(False)))
+    one, p, q = F.col("_state")["v"], F.col("_from"), F.col("_to")
+    none, known_state = F.when(F.lit(False), one), F.col("_state").isNotNull()
+    single = F.array(
+        F.struct("_at", F.lit(0).cast("bigint").alias("_pos"), F.struct(F.when(p == F.col("_at"), one).alias("v")).alias("_step")),
+        F.when(known_state & (p > F.col("_at")) & _until(p, "<="), F.struct(p.alias("_at"), F.lit(_STARTS).alias("_pos"), F.struct(one.alias("v")).alias("_step"))),
+        F.when(known_state & _until(q, "<"), F.struct(q.alias("_at"), F.lit(_ENDS).alias("_pos"), F.struct(none.alias("v")).alias("_step"))),
+    )
+    plain = rows.filter("not _tied").withColumn("_each", F.explode(F.filter(single, lambda x: x.isNotNull())))
+    return plain.select(*keys, "_each.*").unionByName(_tied_steps(rows.filter("_tied"), keys))
+
+
+def _lean(known: DataFrame, history: History, keys: list[str], kind: T.DataType, together: bool = False) -> DataFrame:
+    """Of each instant, start and end the greatest state: rows ``_at, _from, _to, _state``; ``together`` leaves a key's rows in one task."""
     at = F.col(history.at).cast(kind)
     start = F.greatest(at, F.col(history.valid_from).cast(kind)) if history.valid_from else at
     stop = F.col(history.valid_to).cast(kind) if history.valid_to else F.lit(None).cast(kind)
@@ -142,22 +165,57 @@ def _steps(known: DataFrame, history: History, keys: list[str], kind: T.DataType
     ties = [f"_t{i}" for i in range(len(history.tie))]
     state = F.struct(*[F.col(c).alias(f) for c, f in zip(history.tie, ties)], F.struct(*history.cols).alias("v"))
     lean = known.select(*keys, at.alias("_at"), start.alias("_from"), stop.alias("_to"), F.when(valid, state).alias("_state"))
+    lean = lean.repartition(*keys) if together and keys else lean
     # Of states with one period only the greatest can be found.
-    lean = lean.groupBy(*keys, "_at", "_from", "_to").agg(F.max("_state").alias("_state"))
+    return lean.groupBy(*keys, "_at", "_from", "_to").agg(F.max("_state").alias("_state"))
+
+
+def _placed(lean: DataFrame, keys: list[str], cuts) -> DataFrame:
+    """With the times of the rows before and after, ``_before`` and ``_after``, and of the ``_next`` instant."""
     # From the end, so that all states of an instant see the next one.
-    placed = Ordered(lean, keys, ["_at", "_from", "_to"], backward=True).look(_after=("lag", "_at"), _before=("lead", "_at"))
-    placed = placed.look(_next=("last", F.when(F.col("_after") != F.col("_at"), F.col("_after"))))
-    rows = placed.result().withColumn("_tied", F.coalesce((F.col("_before") == F.col("_at")) | (F.col("_after") == F.col("_at")), F.lit(False)))
+    placed = Ordered(lean, keys, ["_at", "_from", "_to"], cuts, backward=True).look(_after=("lag", "_at"), _before=("lead", "_at"))
+    return placed.look(_next=("last", F.when(F.col("_after") != F.col("_at"), F.col("_after")))).result()
 
-    one, p, q = F.col("_state")["v"], F.col("_from"), F.col("_to")
-    none, known_state = F.when(F.lit(False), one), F.col("_state").isNotNull()
-    single = F.array(
-        F.struct("_at", F.lit(0).cast("bigint").alias("_pos"), F.struct(F.when(p == F.col("_at"), one).alias("v")).alias("_step")),
-        F.when(known_state & (p > F.col("_at")) & _until(p, "<="), F.struct(p.alias("_at"), F.lit(_STARTS).alias("_pos"), F.struct(one.alias("v")).alias("_step"))),
-        F.when(known_state & _until(q, "<"), F.struct(q.alias("_at"), F.lit(_ENDS).alias("_pos"), F.struct(none.alias("v")).alias("_step"))),
-    )
-    plain = rows.filter("not _tied").withColumn("_each", F.explode(F.filter(single, lambda x: x.isNotNull())))
-    return plain.select(*keys, "_each.*").unionByName(_tied_steps(rows.filter("_tied"), keys))
+
+# States of an instant that are compared with each other in one row.
+_FEW = 32
+
+
+def _calm_steps(known: DataFrame, history: History, keys: list[str], kind: T.DataType) -> DataFrame:
+    """The steps of :func:`_steps` where no key is hot: one exchange by key.
+
+    The few states of an instant become one row, which tells at each of its bounds the greatest state that is valid
+    there; instants of more states take :func:`_tied_steps`.
+    """
+    here = [*keys, "_at"]
+    rows = _placed(_lean(known, history, keys, kind, together=True), keys, None)
+    rows = rows.select(*here, "_from", "_to", "_state", "_next", F.count("*").over(Window.partitionBy(*here)).alias("_n"))
+    each = F.struct(F.col("_from").alias("p"), F.col("_to").alias("q"), F.col("_state").alias("o"))
+    few = rows.filter(F.col("_n") <= _FEW).groupBy(*here, "_next").agg(F.collect_list(F.when(F.col("_state").isNotNull(), each)).alias("_all"))
+
+    def bound(at, side):
+        return F.struct(at.alias("at"), F.lit(side).alias("side"))
+
+    def reached(b):
+        before_next = F.when(b["side"] == 1, b["at"] < F.col("_next")).otherwise(b["at"] <= F.col("_next"))
+        return F.col("_next").isNull() | before_next
+
+    def step(b):
+        def holds(x):
+            return (x["p"] <= b["at"]) & (x["q"].isNull() | F.when(b["side"] == 1, b["at"] < x["q"]).otherwise(b["at"] <= x["q"]))
+
+        best = F.array_max(F.transform(F.filter("_all", holds), lambda x: x["o"]))
+        place = F.when(b["side"] == 1, F.lit(_ENDS)).when(b["at"] == F.col("_at"), F.lit(0).cast("bigint")).otherwise(F.lit(_STARTS))
+        return F.struct(b["at"].alias("_at"), place.alias("_pos"), F.struct(best["v"].alias("v")).alias("_step"))
+
+    # A state is valid at its end, so nothing changes there but just behind it.
+    starts = F.transform("_all", lambda x: bound(x["p"], 0))
+    ends = F.transform(F.filter("_all", lambda x: x["q"].isNotNull()), lambda x: bound(x["q"], 1))
+    bounds = F.array_distinct(F.concat(F.array(bound(F.col("_at"), 0)), starts, ends))
+    few = few.withColumn("_bounds", F.filter(bounds, reached))
+    few = few.select(*keys, F.explode(F.transform("_bounds", step)).alias("_each")).select(*keys, "_each.*")
+    many = _tied_steps(rows.filter(F.col("_n") > _FEW).drop("_n"), keys, None)
+    return few.unionByName(many.repartition(*keys) if keys else many)
 
 
 def _until(x: Column, sign: str) -> Column:
@@ -166,7 +224,7 @@ def _until(x: Column, sign: str) -> Column:
     return x.isNotNull() & (F.col("_next").isNull() | reached)
 
 
-def _tied_steps(tied: DataFrame, keys: list[str]) -> DataFrame:
+def _tied_steps(tied: DataFrame, keys: list[str], cuts="find") -> DataFrame:
     """Steps of instants with several states: at every period bound the greatest state valid there.
 
     The bounds of an instant are numbered.  A period is cut into dyadic ranges
@@ -183,7 +241,7 @@ def _tied_steps(tied: DataFrame, keys: list[str]) -> DataFrame:
     bounds = F.array(bound("_at", 0), bound("_from", 0, valid), bound("_to", 0, valid & F.col("_to").isNotNull()), bound("_to", 1, valid & F.col("_to").isNotNull()))
     group = F.struct(*keys, F.col("_at").alias("_instant")).alias("_g")
     ends = tied.select(group, "_next", F.col("_from").alias("p"), F.col("_to").alias("q"), F.col("_state").alias("o"), F.explode(F.array_compact(bounds)).alias("_b")).select("*", "_b.*").drop("_b")
-    numbered = Ordered(ends, ["_g"], ["at", "side"]).look(_last=("lag", F.struct("at", "side")))
+    numbered = Ordered(ends, ["_g"], ["at", "side"], cuts).look(_last=("lag", F.struct("at", "side")))
     numbered = numbered.with_columns({"_new": (~F.col("_last").eqNullSafe(F.struct("at", "side"))).cast("bigint")}).look(r=("sum", "_new")).whole(n=("max", "r"))
     rows = numbered.result()
 
