@@ -262,7 +262,7 @@ def large(spark):
     spark.conf.unset("spark.wardflow.probeBytes")
 
 
-@pytest.mark.parametrize("name", ["interval_overlap_join", "validity_overlap_join", "point_in_interval_join"])
+@pytest.mark.parametrize("name", ["interval_overlap_join", "validity_overlap_join", "point_in_interval_join", "asof_every_tied_state"])
 def test_rows_of_ordinary_keys_are_not_dealt_to_bins(spark, large, name):
     assert "Generate" not in plan(run(name, spark, "/root/testdata/sf0.001"))
 

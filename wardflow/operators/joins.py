@@ -266,14 +266,18 @@ def asof_tied(events: DataFrame, states: DataFrame, keys, ts: str, state_ts: str
     """Events with every state of the latest instant that is valid at the event, one row per state.
 
     The instant is carried to the event in one pass; its states are then met by
-    key, instant and period, an interval join that spreads over bins of time.
+    key, instant and period, see :func:`interval_join`.
     """
     keys = list(keys)
     known = states.filter(F.col(state_ts).isNotNull())
     instants = known.select(*keys, F.col(state_ts).alias("_state_at"), F.col(state_ts).alias("_instant"))
     found = asof_histories(events, [History(instants, "_state_at", ["_instant"])], keys, ts, strict, "inner")
     spans = known.select(*keys, F.col(state_ts).alias("_instant"), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *[F.col(c).alias(f"_c_{c}") for c in cols])
-    met = interval_join(found, spans, [*keys, "_instant"], ts, "_from", "_to")
+    if not is_small(events, states) and crowded_keys(events, known, keys) == []:
+        # Nor can an instant of a key be crowded.
+        met = _met(found, spans.filter(F.col("_from") <= F.col("_to")), [*keys, "_instant"], ts, "_from", "_to")
+    else:
+        met = interval_join(found, spans, [*keys, "_instant"], ts, "_from", "_to")
     return met.select(*events.columns, *[F.col(f"_c_{c}").alias(c) for c in cols])
 
 
