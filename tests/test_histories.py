@@ -299,3 +299,9 @@ def test_calm_steps_equal_brute_force(light, large, given, monkeypatch, few):
     events, places, weights, e, p, w = given
     out = asof_histories(e, [History(p, "at", ["place"], ["tie"], "beg", "end"), History(w, "weighed", ["weight"])], ["k"], "t")
     assert {r.id: (r.place, r.weight) for r in out.collect()} == brute(events, places, weights, False, True, True)
+
+
+def test_prior_therapy_of_ordinary_keys_reads_doses_once(spark, large, frame, rows):
+    text = plan(run("prior_therapy_before_index", spark, "/root/testdata/sf0.001"))
+    assert len(re.findall(r"FileScan parquet \[l_", text)) == 2
+    test_prior_therapy_of_several_index_rows(frame, rows)

@@ -12,6 +12,7 @@ from ..functions.scalar import DOSE_UNITS, classify, dose_per_weight, elapsed, o
 from .joins import asof_join, first_state
 from .reshape import flag_pivot, value_pivot
 from .series import stays
+from .skew import crowded_keys, is_small
 
 
 def baseline_value(df: DataFrame, keys, ts: str, anchor: str, code: str, value: str, codes: Sequence[str],
@@ -111,11 +112,13 @@ def prior_therapy(doses: DataFrame, index: DataFrame, keys, ts: str, med: str, i
                   max_gap_days: float = 5.0, load_days: float = 6.0) -> DataFrame:
     """Days on other drugs before the index drug and whether that (or a loading dose) counts as loaded."""
     keys = list(keys)
-    # Per drug its first dose; the last before the index is carried to the index row, so doses never meet index rows.
-    first = doses.groupBy(*keys, med).agg(F.min(ts).alias("_start"))
-    asked = index.select(*keys, index_ts, loaded).distinct().join(first, keys).filter(F.col("_start") < F.col(index_ts))
-    last = doses.select(*keys, med, F.col(ts).alias("_stop"))
-    runs = asof_join(asked, last, [*keys, med], index_ts, "_stop", ["_stop"], strict=True)
+    asked = index.select(*keys, index_ts, loaded).distinct()
+    if not is_small(doses, index) and crowded_keys(asked, doses, keys) == []:
+        # Few index rows to a key: its doses meet them once.
+        seen = asked.join(doses.select(*keys, med, F.col(ts).alias("_at")), keys).filter(F.col("_at") < F.col(index_ts))
+        runs = seen.groupBy(*keys, med, index_ts, loaded).agg(F.min("_at").alias("_start"), F.max("_at").alias("_stop"))
+    else:
+        runs = _runs_before(asked, doses, keys, ts, med, index_ts)
     runs = runs.withColumns({
         "_days": elapsed("_start", "_stop", "days"), "_gap": elapsed("_stop", index_ts, "days"),
     }).filter(F.col("_gap") < max_gap_days)
@@ -126,6 +129,15 @@ def prior_therapy(doses: DataFrame, index: DataFrame, keys, ts: str, med: str, i
     return out.withColumns({"full_load": F.col(loaded) | long, "other_load": ~F.col(loaded) & long})
 
 
+def _runs_before(asked: DataFrame, doses: DataFrame, keys: list[str], ts: str, med: str, index_ts: str) -> DataFrame:
+    """First and last dose of each drug before each index row, ``_start`` and ``_stop``."""
+    # Per drug its first dose; the last before the index is carried to the index row, so doses never meet index rows.
+    first = doses.groupBy(*keys, med).agg(F.min(ts).alias("_start"))
+    asked = asked.join(first, keys).filter(F.col("_start") < F.col(index_ts))
+    last = doses.select(*keys, med, F.col(ts).alias("_stop"))
+    return asof_join(asked, last, [*keys, med], index_ts, "_stop", ["_stop"], strict=True)
+
+
 def med_after_index(index: DataFrame, doses: DataFrame, keys, ts: str, med: str, meds: Sequence[str], index_times: Sequence[str], prefix: str = "") -> DataFrame:
     """Flag per drug given after any of several index times; every index row is kept."""
     earliest = F.min(F.least(*[F.col(c) for c in index_times])).alias("_index")
