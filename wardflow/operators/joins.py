@@ -178,7 +178,7 @@ def _placed(lean: DataFrame, keys: list[str], cuts) -> DataFrame:
 
 
 # States of an instant that are compared with each other in one row.
-_FEW = 32
+_FEW = 8
 
 
 def _calm_steps(known: DataFrame, history: History, keys: list[str], kind: T.DataType) -> DataFrame:
@@ -189,9 +189,12 @@ def _calm_steps(known: DataFrame, history: History, keys: list[str], kind: T.Dat
     """
     here = [*keys, "_at"]
     rows = _placed(_lean(known, history, keys, kind, together=True), keys, None)
-    rows = rows.select(*here, "_from", "_to", "_state", "_next", F.count("*").over(Window.partitionBy(*here)).alias("_n"))
-    each = F.struct(F.col("_from").alias("p"), F.col("_to").alias("q"), F.col("_state").alias("o"))
-    few = rows.filter(F.col("_n") <= _FEW).groupBy(*here, "_next").agg(F.collect_list(F.when(F.col("_state").isNotNull(), each)).alias("_all"))
+    inside = Window.partitionBy(*here).orderBy("_from", "_to")
+    total = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select(*here, "_from", "_to", "_state", "_next", F.row_number().over(inside).alias("_i"), F.count("*").over(total).alias("_n"))
+    each = F.when(F.col("_state").isNotNull(), F.struct(F.col("_from").alias("p"), F.col("_to").alias("q"), F.col("_state").alias("o")))
+    places = [F.max(F.when(F.col("_i") == i + 1, each)) for i in range(_FEW)]
+    few = rows.filter(F.col("_n") <= _FEW).groupBy(*here, "_next").agg(F.array_compact(F.array(*places)).alias("_all"))
 
     def bound(at, side):
         return F.struct(at.alias("at"), F.lit(side).alias("side"))
@@ -214,7 +217,7 @@ def _calm_steps(known: DataFrame, history: History, keys: list[str], kind: T.Dat
     bounds = F.array_distinct(F.concat(F.array(bound(F.col("_at"), 0)), starts, ends))
     few = few.withColumn("_bounds", F.filter(bounds, reached))
     few = few.select(*keys, F.explode(F.transform("_bounds", step)).alias("_each")).select(*keys, "_each.*")
-    many = _tied_steps(rows.filter(F.col("_n") > _FEW).drop("_n"), keys, None)
+    many = _tied_steps(rows.filter(F.col("_n") > _FEW).drop("_i", "_n"), keys, None)
     return few.unionByName(many.repartition(*keys) if keys else many)
 
 
