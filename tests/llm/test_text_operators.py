@@ -141,6 +141,48 @@ def test_graph_components(spark):
     assert graph.components(links.where("false")).count() == 0
 
 
+def shuffles(df):
+    """Shuffles and broadcasts of a plan before it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_graph_components_of_random_links_are_a_plain_table(spark):
+    rng = random.Random(11)
+    pairs = [(k, k + 1) for k in range(0, 60)] + [(200, k) for k in range(201, 260)] + [(rng.randrange(300, 500), rng.randrange(300, 500)) for _ in range(130)]
+    pairs += [(b, a) for a, b in pairs[::3]] + pairs[::5]
+    root = {k: k for pair in pairs for k in pair}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    found = graph.components(spark.createDataFrame(pairs, "a bigint, b bigint"))
+    rows = found.collect()
+    linked = {k for a, b in pairs if a != b for k in (a, b)}
+    assert len(rows) == len(linked) and {r.node: r.comp for r in rows} == {k: find(k) for k in linked}
+    # What reads the components does not run the rounds again.
+    assert shuffles(found) == 0
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(graph, "written", lambda df, name, write=graph.written: names.append(name) or write(df, name))
+    stars = spark.createDataFrame([(k, k % 3) for k in range(3, 40)], "a bigint, b bigint")
+    assert {r.node: r.comp for r in graph.components(stars).collect()} == {k: k % 3 for k in range(40)}
+    assert names.count("links") == 1
+
+
+def test_the_result_of_the_join_is_a_small_plan(spark, small):
+    """The driver holds every plan while it runs: the last one reads the tables made before it, it does not make them again."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert shuffles(ngram_join.jaccard_components(docs, size=4, percent=85, n_links=True)) <= 3
+    assert shuffles(ngram_join.jaccard_components(docs)) <= 3
+
+
 # -- decontamination
 
 @pytest.mark.parametrize("limit", [500_000, 200])

@@ -15,20 +15,19 @@ def components(edges: DataFrame) -> DataFrame:
     the smaller ones; the table only shrinks, and O(log n) rounds leave one star per component.  Hub nodes
     are no burden: the smallest neighbour is a partial aggregate, and the join back splits at run time.
     Self links and nulls are ignored; no links give an empty table.
+
+    The table is one star per component once no node has both a smaller neighbour and another one.  The result is the
+    written table that shows it, so plans on it hold no part of the rounds.
     """
     now = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now = written(now, "links")
-    seen = None
     while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
+        now = written(now, "links")
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        near = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "nearest")
+        low = near.select("u", F.least("m", "u").alias("m"))
+        if near.where("m < u and n > 1").isEmpty():
+            return low.select(F.col("u").alias("node"), F.col("m").alias("comp"))
         large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-        now = written(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), "links")
-    stars = now.groupBy("u").agg(F.min("v").alias("v"))
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+        now = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()

@@ -180,9 +180,9 @@ def _sets_of(size: int):
 
 
 def _some_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """Sets of the documents whose ids are listed; the bit map keeps nearly all other texts in the JVM, the join drops the rest."""
+    """Sets of the documents whose ids are listed, and of the few others that the bit map lets through: the caller's join drops them."""
     wanted = flag_possible(docs, marks_of(ids)).where("__maybe").select("doc_id", "text")
-    return wanted.mapInPandas(_sets_of(size), "doc_id bigint, items array<bigint>").join(ids.select("doc_id"), "doc_id", "left_semi")
+    return wanted.mapInPandas(_sets_of(size), "doc_id bigint, items array<bigint>")
 
 
 def marks_of(ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -288,7 +288,7 @@ def _within(held: list[tuple], percent: int) -> list[tuple[int, int]]:
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold.  Sets are made again from the texts, of the candidates only."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
     sets = _some_sets(docs, ids, size)
     with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
     with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b")
@@ -398,14 +398,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         copied = found["copies"].groupBy("set_a", "set_b").agg(F.count("*").alias("more"))
         classes = classes.join(copied, ["set_a", "set_b"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
         # A link to a set is a link to each of its documents.
-        width = written(classes.where("comp is not null").select("node", (F.col("more") + 1).alias("k")), "widths")
+        classes = written(classes, "classes")
+        width = classes.where("comp is not null").select("node", (F.col("more") + 1).alias("k"))
         inner = _inside(found["first_comps"], found["points"], found["known"], size, percent, width)
         # Links that no comparison inside a component sees: those of components of two, and those between components.
         two = found["first_comps"].groupBy("comp").agg(F.count("*").alias("k")).where("k = 2").select(F.col("comp").alias("a"))
         outer = found["first"].join(two, "a", "left_semi").unionByName(found["more"])
         ways = outer.unionByName(outer.select(F.col("b").alias("a"), F.col("a").alias("b")))
         outer = ways.join(width.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "k")
-        others = inner.unionByName(outer).groupBy("node").agg(F.sum("k").alias("others"))
+        others = written(inner.unionByName(outer).groupBy("node").agg(F.sum("k").alias("others")), "others")
         classes = classes.join(others, "node", "left").withColumn("links", F.col("more") + F.coalesce("others", F.lit(0)))
         counts = ["links"]
     classes = classes.select("set_a", "set_b", F.coalesce("comp", "node").alias("comp"), *counts)
@@ -441,11 +442,10 @@ def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     tune(spark)
     docs = df.select(column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text"))
     known = docs.where("doc_id is not null")
-    counts = docs.select("text").mapInPandas(_count_slots(size), "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.select("text").mapInPandas(_count_slots(size), "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     # The counts themselves: a slot holds more and more shingles as the table grows, so rounded counts would hide what is shared.
     level = np.zeros(1 << SLOT_BITS, np.int64)
-    if len(counts):
-        level[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    level[counts["slot"].to_numpy()] = counts["n"].to_numpy()
     ranks = spark.sparkContext.broadcast(level)
     found = per_text(_describe(size, percent, ranks), "n bigint, set_a bigint, set_b bigint, keys array<bigint>, near bigint, point binary", F.col("text"))
     described = written(docs.select("doc_id", found.alias("found")).select("doc_id", "found.*"), "sets")
@@ -457,7 +457,8 @@ def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     copies = written(copies, "copies")
     # Only rows that may be copies are shuffled to be told apart; the others are nodes for sure.
     flagged = flag_possible(filled, marks_of(copies))
-    nodes = flagged.where("not __maybe").unionByName(flagged.where("__maybe").join(copies, ["set_a", "set_b", "doc_id"], "left_anti")).drop("__maybe")
+    told = written(flagged.where("__maybe").join(copies, ["set_a", "set_b", "doc_id"], "left_anti"), "told")
+    nodes = flagged.where("not __maybe").unionByName(told).drop("__maybe")
     # Of two similar documents the smaller one has a common key among its first n - ceil(2t / (1 + t) * n) + 1.
     keyed = nodes.select(F.col("doc_id").alias("node"), "near", F.posexplode("keys").alias("at", "key")).select("key", "node", (F.col("at") < F.col("near")).alias("near"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
@@ -502,5 +503,5 @@ def _joined(df: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     more = written(_verified(bounded(more), known, size, percent), "edges")
     return {
         "described": described, "classes": classes, "copies": copies, "points": points, "known": known,
-        "first": links, "first_comps": comps, "more": more, "comps": components(links.unionByName(more)),
+        "first": links, "first_comps": comps, "more": more, "comps": components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more)),
     }
